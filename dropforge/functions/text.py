@@ -83,4 +83,4 @@ def slug(c: Column | str, max_length: int | None = 63) -> Column:
 def split_pipe(c: Column | str, *, trim: bool = False) -> Column:
     """Array of pipe-separated items; ``explode`` it for one row per item (null text gives no row)."""
     items = F.split(as_col(c), r"\|", -1)
-    return F.transform(items, F.trim) if trim else items
+    return F.transform(items, lambda item: F.trim(item)) if trim else items

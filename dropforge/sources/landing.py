@@ -2,46 +2,49 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropforge.sources.schemas import SOURCES, Source
 
-# Files that are no drops.
-SKIPPED_SUFFIXES = (".gpg", ".xlsx")
+# Endings of files that are no drops.
+SKIPPED = r"\.(gpg|xlsx)$"
 
 
-def list_drops(spark: SparkSession, root: str) -> DataFrame:
-    """Path, folder, name and modification time of the files under ``root``; contents are not read."""
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Path and modification time of the files under ``root``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    parts = F.split("path", "/")
-    return files.select(
-        "path",
-        F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/").alias("folder"),
-        F.element_at(parts, -1).alias("name"),
-        F.col("modificationTime").alias("modified"),
-    )
+    return files.select("path", F.col("modificationTime").alias("modified"))
 
 
-def newest_per_keyword(drops: DataFrame, sources) -> DataFrame:
-    """The latest file per source among ``drops`` (path, folder, name, modified).
+def newest_per_source(files: DataFrame, root: str, sources) -> DataFrame:
+    """The latest drop per source among ``files`` (path, modified).
 
-    A file belongs to every source whose keyword its name contains and whose folder it lies in. Files of one
-    time are told apart by path. Sources are matched by an expression over their fixed list, and the maximum is
-    taken on the map side first, so a keyword with very many files costs one pass.
+    A drop is a file or a folder of part files that lies directly in the folder of its source and has the
+    keyword in its name; it may belong to several sources. Drops of one time are told apart by path. Sources
+    are matched by an expression over their fixed list and the maximum is taken on the map side first, so a
+    keyword with very many files costs one pass over the listing.
     """
-    is_skipped = F.lower("name").rlike("(" + "|".join(s.replace(".", r"\.") for s in SKIPPED_SUFFIXES) + ")$")
-    matches = []
+    root = root.rstrip("/")
+    start = F.regexp_extract("path", f"^(.*?{re.escape(root)})/", 1)
+    below = F.substring_index(F.col("path"), root + "/", -1)
+    drops = files.select("modified", start.alias("_root"), below.alias("_below"))
+
+    found = []
     for s in sources:
-        hit = F.col("name").contains(s.keyword)
-        if s.folder:
-            folder = F.concat(F.lit("/"), F.col("folder"))
-            hit = hit & folder.endswith("/" + s.folder.strip("/"))
+        folder = s.folder.strip("/")
+        name = F.split(F.substring("_below", len(folder) + 2, 2**31 - 1) if folder else F.col("_below"), "/")[0]
+        hit = name.contains(s.keyword)
+        if folder:
+            hit &= F.col("_below").startswith(folder + "/")
         if not s.any_extension:
-            hit = hit & ~is_skipped
-        matches.append(F.when(hit, F.lit(s.name)))
+            hit &= ~F.lower(name).rlike(SKIPPED)
+        path = F.concat_ws("/", F.col("_root"), *([F.lit(folder)] if folder else []), name)
+        found.append(F.when(hit, F.struct(F.lit(s.name).alias("source"), path.alias("path"))))
     return (
-        drops.withColumn("source", F.explode(F.array_compact(F.array(*matches))))
+        drops.select("modified", F.inline(F.array_compact(F.array(*found))))
         .groupBy("source")
         .agg(F.max(F.struct("modified", "path")).alias("latest"))
         .select("source", "latest.path", "latest.modified")
@@ -50,5 +53,5 @@ def newest_per_keyword(drops: DataFrame, sources) -> DataFrame:
 
 def select_drops(spark: SparkSession, root: str, sources: dict[str, Source] | None = None) -> dict[str, str]:
     """Path of the newest drop of each source that has one. At most one row per declared source is collected."""
-    chosen = newest_per_keyword(list_drops(spark, root), (sources or SOURCES).values())
+    chosen = newest_per_source(list_files(spark, root), root, (sources or SOURCES).values())
     return {row["source"]: row["path"] for row in chosen.collect()}
