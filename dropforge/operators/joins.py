@@ -27,8 +27,8 @@ def lookup(facts: DataFrame, key: Column | str, table: DataFrame, table_key: str
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
-    """Put one-row aggregates side by side."""
-    out = frames[0].withColumn("_one", F.lit(1))
+    """One-row aggregates put into one row; their columns must have different names."""
+    stacked = frames[0]
     for f in frames[1:]:
-        out = out.join(f.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

@@ -38,11 +38,8 @@ def communes(views):
         "ncc",
         "libelle",
     )
-    # Copies go before the join: one row per commune and wording is looked up, not one per change of dates.
-    past = (
-        views.view("staging__v_commune_depuis")
-        .select("com", department_of_commune("com").alias("dep"), "ncc", "libelle")
-        .distinct()
+    past = views.view("staging__v_commune_depuis").select(
+        "com", department_of_commune("com").alias("dep"), "ncc", "libelle"
     )
     past = lookup(past, "dep", views.view("staging__ref_departements"), "dep", reg="reg")
     columns = ["com", "reg", "dep", "ncc", "libelle"]

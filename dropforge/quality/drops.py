@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropforge.sources.headers import normalise, read_header
+from dropforge.sources.headers import Header, normalise, read_headers
 from dropforge.sources.schemas import Source
 
 _HEADERS = "file string, expected array<string>, headers array<string>"
@@ -49,12 +49,14 @@ def issues(report: DataFrame) -> DataFrame:
     return report.select("file", F.explode(F.array_compact(found)).alias("issue"))
 
 
-def header_report(spark: SparkSession, drops: dict[str, Source]) -> DataFrame:
-    """``check_headers`` over the first line of each drop; open sources accept any header."""
+def header_report(
+    spark: SparkSession, drops: dict[str, Source], headers: dict[str, Header] | None = None
+) -> DataFrame:
+    """``check_headers`` over the first line of each drop (path and source); open sources accept any header."""
+    headers = headers or read_headers(spark, {path: source.sep for path, source in drops.items()})
     rows = []
     for path, source in drops.items():
-        _, headers = read_header(spark, path, source.sep)
-        names = [normalise(h.strip()) for h in headers if h.strip()]
+        names = [normalise(cell.strip()) for cell in headers[path][1] if cell.strip()]
         rows.append((path, source.columns if source.fields is not None else names, names))
     return check_headers(spark.createDataFrame(rows, _HEADERS))
 

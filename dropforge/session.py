@@ -17,6 +17,9 @@ def session(app: str = "dropforge", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The JVM compiles methods of up to 8000 bytecodes; a fused stage over a table of a hundred columns and
+        # more passes that and would be interpreted, so such stages are better not fused.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     builder = SparkSession.builder.appName(app)
     for key, value in {**defaults, **conf}.items():

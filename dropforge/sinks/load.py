@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +12,15 @@ from dropforge.plans.registry import Views
 from dropforge.quality.drops import header_report, require_valid
 from dropforge.sinks.publish import require_loaded, row_counts
 from dropforge.sinks.store import Store
+from dropforge.sources.headers import Header, read_headers
 from dropforge.sources.landing import select_drops
 from dropforge.sources.reader import read_source
 from dropforge.sources.schemas import SOURCES, Source
 
 
-def load_drop(store: Store, path: str, source: Source, day: date) -> None:
+def load_drop(store: Store, path: str, source: Source, day: date, header: Header | None = None) -> None:
     """Conform one drop into its table and add the table to the history."""
-    store.save(read_source(store.spark, path, source), source.name)
+    store.save(read_source(store.spark, path, source, header), source.name)
     # From the saved table: the drop is parsed once.
     store.append_history(store.read(source.name), source.name, day)
 
@@ -31,17 +33,27 @@ def run(
     today: str | date | None = None,
     sources: dict[str, Source] | None = None,
     check_headers: bool = True,
+    at_once: int = 4,
 ) -> tuple[Views, DataFrame]:
-    """Load the newest drop of every source; gives the views over the store and the row counts."""
+    """Load the newest drop of every source; gives the views over the store and the row counts.
+
+    ``at_once`` drops are loaded side by side, so that small ones do not leave the cluster waiting.
+    """
     sources = sources or SOURCES
     day = reference_date(today)
     drops = select_drops(spark, landing, sources)
     if not drops:
         raise FileNotFoundError(f"no drop of a declared source under {landing}")
+    headers = read_headers(spark, {path: sources[name].sep for name, path in drops.items()}, at_once)
     if check_headers:
-        require_valid(header_report(spark, {path: sources[name] for name, path in drops.items()}))
-    for name, path in drops.items():
-        load_drop(store, path, sources[name], day)
+        require_valid(header_report(spark, {path: sources[name] for name, path in drops.items()}, headers))
+
+    def load(drop):
+        name, path = drop
+        load_drop(store, path, sources[name], day, headers[path])
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(load, drops.items()))
     counts = row_counts({name: store.read(name) for name in drops})
     require_loaded(counts)
     return Views(store.read, day), counts

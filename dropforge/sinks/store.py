@@ -30,7 +30,10 @@ class Store:
         at = self._location(table)
         return self.spark.read.parquet(at) if self.root else self.spark.table(at)
 
-    def history(self, table: str) -> DataFrame:
+    def history(self, table: str, *, merge_columns: bool = False) -> DataFrame:
+        """All loads of a table. ``merge_columns`` is for folders whose loads do not all have the same columns."""
+        if self.root and merge_columns:
+            return self.spark.read.option("mergeSchema", True).parquet(self._location(HISTORY_PREFIX + table))
         return self.read(HISTORY_PREFIX + table)
 
     def declare(self, source: Source) -> None:
@@ -59,11 +62,16 @@ class Store:
         """Add a load to the history of ``table``. Loading the same day again replaces that day only."""
         at = self._location(HISTORY_PREFIX + table)
         dated = df.withColumn(INGESTED_ON, F.lit(day).cast(T.DateType()))
-        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if self.root:
+            writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(INGESTED_ON).parquet(at)
         elif self.spark.catalog.tableExists(at):
-            writer.insertInto(at)
+            # Named partition: on catalog tables the dynamic mode is a session setting, not a writer's option.
+            columns = [c for c in self.spark.table(at).columns if c != INGESTED_ON]
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {at} PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}') SELECT * FROM {{load}}",
+                load=df.select(*columns),
+            )
         else:
             dated.write.format("parquet").partitionBy(INGESTED_ON).saveAsTable(at)
 

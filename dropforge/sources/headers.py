@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -81,11 +82,21 @@ def guess_delimiter(line: Column | str) -> Column:
     return pick
 
 
-def read_header(spark: SparkSession, path: str, sep: str | None = None) -> tuple[str, list[str]]:
-    """Delimiter and raw header cells of a drop. Reads its first line that is not blank, and stops there."""
+Header = tuple[str, list[str]]  # delimiter and raw cells
+
+
+def read_header(spark: SparkSession, path: str, sep: str | None = None) -> Header:
+    """Header of a drop. Reads its first line that is not blank, and stops there."""
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
     head = lines.select("value", guess_delimiter("value").alias("sep")).head(1)
     if not head:
         return sep or DEFAULT_DELIMITER, []
     sep = sep or head[0]["sep"]
     return sep, next(csv.reader([head[0]["value"].lstrip(_BOM)], delimiter=sep), [])
+
+
+def read_headers(spark: SparkSession, drops: dict[str, str | None], at_once: int = 4) -> dict[str, Header]:
+    """Headers of several drops, given as path and delimiter (none: guess)."""
+    with ThreadPoolExecutor(at_once) as pool:
+        headers = pool.map(lambda drop: read_header(spark, *drop), drops.items())
+        return dict(zip(drops, headers))

@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropforge.functions.casts import cast_to
-from dropforge.sources.headers import column_names, read_header
+from dropforge.sources.headers import Header, column_names, read_header
 from dropforge.sources.schemas import Source
 
 MALFORMED = "_malformed"
 
 
-def read_text(spark: SparkSession, path: str, source: Source) -> DataFrame:
+def read_text(spark: SparkSession, path: str, source: Source, header: Header | None = None) -> DataFrame:
     """The drop as text columns under normalised names, with ``_malformed`` holding rows of another width.
 
     The header is skipped by position and its names are applied here, so repeated and accented headers never
-    reach the CSV reader.
+    reach the CSV reader. ``header`` saves reading it again.
     """
-    sep, headers = read_header(spark, path, source.sep)
-    names = column_names(headers)
+    sep, cells = header or read_header(spark, path, source.sep)
+    names = column_names(cells)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
     return (
         spark.read.schema(schema)
@@ -52,10 +52,13 @@ def conform(df: DataFrame, source: Source) -> DataFrame:
     )
 
 
-def read_source(spark: SparkSession, path: str, source: Source) -> DataFrame:
-    return conform(read_text(spark, path, source), source)
+def read_source(spark: SparkSession, path: str, source: Source, header: Header | None = None) -> DataFrame:
+    return conform(read_text(spark, path, source, header), source)
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
-    """Raw text of the rows that were shorter or longer than the header."""
-    return df.where(F.col(MALFORMED).isNotNull()).select(MALFORMED)
+    """Raw text of the rows of ``read_text`` that were shorter or longer than the header."""
+    # Always true. The width of a row is judged by the columns that are read, so all of them must be.
+    columns = [F.col(f"`{c}`") for c in df.columns if c != MALFORMED]
+    all_read = F.length(F.concat_ws("", *columns)) >= 0
+    return df.where(F.col(MALFORMED).isNotNull() & all_read).select(MALFORMED)

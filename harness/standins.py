@@ -55,20 +55,21 @@ def facility(k: str) -> str:
     )
 
 
+def _two(x: str) -> str:
+    return f"LPAD({text(x)}, 2, '0')"
+
+
 def iso(ts: str, years: int = 0) -> str:
-    day = f"SUBSTR({text(ts)}, 1, 10)"
-    if not years:
-        return day
-    return f"{text(f'CAST(SUBSTR({day}, 1, 4) AS INT) + {years}')} || SUBSTR({day}, 5, 6)"
+    return f"{text(f'YEAR({ts}) + {years}')} || '-' || {_two(f'MONTH({ts})')} || '-' || {_two(f'DAY({ts})')}"
 
 
 def day_first(ts: str, years: int = 0, sep: str = "-") -> str:
-    day = f"({iso(ts, years)})"
-    return f"SUBSTR({day}, 9, 2) || '{sep}' || SUBSTR({day}, 6, 2) || '{sep}' || SUBSTR({day}, 1, 4)"
+    year = text(f"YEAR({ts}) + {years}")
+    return f"{_two(f'DAY({ts})')} || '{sep}' || {_two(f'MONTH({ts})')} || '{sep}' || {year}"
 
 
-def part_of(ts: str, start: int, n: int) -> str:
-    return f"CAST(SUBSTR({text(ts)}, {start}, {n}) AS INT)"
+def part_of(ts: str, part: str) -> str:
+    return f"CAST({part}({ts}) AS INT)"
 
 
 YEARS = 26  # moves 1995-2001 to 2021-2027, around the cut-offs of the views
@@ -187,9 +188,9 @@ BASES: dict[str, tuple[str, str, dict[str, str]]] = {
         "libelle": "LOWER(r_name)",
     }),
     "sa_insern": ("events", "event_id", {
-        "annee": f"CASE WHEN event_id % 3 = 0 THEN 2024 ELSE {part_of('ts', 1, 4)} END",
-        "mois": f"CASE WHEN event_id % 3 = 0 THEN 2 ELSE {part_of('ts', 6, 2)} END",
-        "jour": f"CASE WHEN event_id % 3 = 0 THEN 29 ELSE {part_of('ts', 9, 2)} END",
+        "annee": f"CASE WHEN event_id % 3 = 0 THEN 2024 ELSE {part_of('ts', 'YEAR')} END",
+        "mois": f"CASE WHEN event_id % 3 = 0 THEN 2 ELSE {part_of('ts', 'MONTH')} END",
+        "jour": f"CASE WHEN event_id % 3 = 0 THEN 29 ELSE {part_of('ts', 'DAY')} END",
         "departement_code": "CASE WHEN event_id % 3 = 0 THEN '75' ELSE " + _dep2("user_id") + " END",
         "commune_code": "CASE WHEN event_id % 3 = 0 THEN '75056' ELSE " + commune("user_id") + " END",
         "et_finess": f"CASE WHEN event_id % 3 = 0 THEN NULL ELSE {facility('user_id')} END",
@@ -197,27 +198,27 @@ BASES: dict[str, tuple[str, str, dict[str, str]]] = {
         "source": "'CertDc'",
     }),
     "cert_dc_insern_n2_n1": ("events", "event_id", {
-        "index": text("event_id"), "annee": part_of("ts", 1, 4), "mois": part_of("ts", 6, 2),
-        "jour": part_of("ts", 9, 2), "deces_nb": "1",
+        "index": text("event_id"), "annee": part_of("ts", "YEAR"), "mois": part_of("ts", "MONTH"),
+        "jour": part_of("ts", "DAY"), "deces_nb": "1",
     }),
     "cert_dc_insern_2023_2024": ("events", "event_id", {
-        "index": text("event_id + 1"), "annee": part_of("ts", 1, 4), "mois": part_of("ts", 6, 2),
-        "jour": part_of("ts", 9, 2), "deces_nb": "1",
+        "index": text("event_id + 1"), "annee": part_of("ts", "YEAR"), "mois": part_of("ts", "MONTH"),
+        "jour": part_of("ts", "DAY"), "deces_nb": "1",
     }),
     "dc_det": ("events", "event_id", {
-        "date": day_first("ts"), "adec": part_of("ts", 1, 4), "mdec": part_of("ts", 6, 2), "jdec": part_of("ts", 9, 2),
+        "date": day_first("ts"), "adec": part_of("ts", "YEAR"), "mdec": part_of("ts", "MONTH"), "jdec": part_of("ts", "DAY"),
         "comdec": commune("user_id"),
     }),
     "sa_insee_histo": ("orders", "o_orderkey", {
-        "adec": part_of("o_orderdate", 1, 4), "mdec": part_of("o_orderdate", 6, 2),
-        "jdec": part_of("o_orderdate", 9, 2), "comdec": commune("o_custkey"),
+        "adec": part_of("o_orderdate", "YEAR"), "mdec": part_of("o_orderdate", "MONTH"),
+        "jdec": part_of("o_orderdate", "DAY"), "comdec": commune("o_custkey"),
     }),
     "sa_esms": ("part", "p_partkey", {"finess": facility("p_partkey"), "total": "p_size"}),
     "sa_pmsi": ("orders", "o_orderkey", {
-        "mois": f"SUBSTR({text('o_orderdate')}, 1, 7)", "finess": facility("o_custkey"),
+        "mois": f"SUBSTR({iso('o_orderdate')}, 1, 7)", "finess": facility("o_custkey"),
     }),
     "sa_rpu": ("orders", "o_orderkey", {
-        "mois": f"SUBSTR({text('o_orderdate')}, 1, 7)", "finess": facility("o_custkey"),
+        "mois": f"SUBSTR({iso('o_orderdate')}, 1, 7)", "finess": facility("o_custkey"),
     }),
     "sa_usld": ("supplier", "s_suppkey", {"finess": facility("s_suppkey")}),
     "sa_hubee": ("customer", "c_custkey", {"nom_de_l_organisation": "c_name", "type_d_organisation": "c_mktsegment"}),
@@ -247,8 +248,10 @@ def _expressions(name: str) -> dict[str, str]:
             out[f.name] = f"CAST({key} % {i + 5} AS INT)"
         elif isinstance(f.dataType, T.FloatType):
             out[f.name] = f"CAST({key} % {i + 5} AS FLOAT)"
-        else:
+        elif i % 5 == 0:
             out[f.name] = f"'v{i} ' || {text(f'{key} % 13')}"
+        else:
+            out[f.name] = f"'v{i}'"
     return out
 
 
