@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 ACCENTED = "éèêëàâäîïôöùûüçñÉÈÊËÀÂÄÎÏÔÖÙÛÜÇÑ"
 PLAIN = "eeeeaaaiioouuucnEEEEAAAIIOOUUUCN"
 
-# Letters and digits of any script, and the underscore.
-NOT_WORD = r"[^\p{L}\p{N}_]"
+# Anything but letters and digits of any script.
+BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def as_col(c: Column | str) -> Column:
@@ -73,11 +73,9 @@ def iif(condition: Column, when_true, when_false) -> Column:
 
 def slug(c: Column | str, max_length: int | None = 63) -> Column:
     """Value form of the header rule: plain letters, lower case, other characters folded to ``_``."""
-    c = F.lower(F.translate(as_col(c), ACCENTED, PLAIN))
-    c = F.regexp_replace(c, NOT_WORD, "_")
-    c = F.regexp_replace(c, "_+", "_")
-    c = F.regexp_replace(c, "^_|_$", "")
-    return c if max_length is None else F.substring(c, 1, max_length)
+    words = F.regexp_replace(F.lower(F.translate(as_col(c), ACCENTED, PLAIN)), BETWEEN_WORDS, "_")
+    name = F.btrim(words, F.lit("_"))
+    return name if max_length is None else F.substring(name, 1, max_length)
 
 
 def split_pipe(c: Column | str, *, trim: bool = False) -> Column:

@@ -17,11 +17,11 @@ def lookup(facts: DataFrame, key: Column | str, table: DataFrame, table_key: str
     ``picks`` maps output names to columns of ``table``; a key held by several rows repeats the fact, a missing
     key gives nulls. The output is the columns of ``facts`` followed by the picks.
     """
-    left = facts.withColumn("_key", F.col(key) if isinstance(key, str) else key)
     right = table.select(
         F.col(table_key).alias("_table_key"), *[F.col(c).alias(f"_pick_{out}") for out, c in picks.items()]
     )
-    return left.join(right, F.col("_key") == F.col("_table_key"), "left").select(
+    on = (F.col(key) if isinstance(key, str) else key) == F.col("_table_key")
+    return facts.join(right, on, "left").select(
         *facts.columns, *[F.col(f"_pick_{out}").alias(out) for out in picks]
     )
 

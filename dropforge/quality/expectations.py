@@ -71,6 +71,7 @@ def type_violation(df: DataFrame, column: str, family: str) -> tuple[str, str, s
     if field is None or isinstance(field.dataType, FAMILIES[family]):
         return None
     actual = field.dataType.simpleString()
+    # Fixed value: the wording of the message.
     message = f"La colonne {field.name} a un type différent de {family} (trouvé: {actual})"
     return field.name, actual, family, message
 

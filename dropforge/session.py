@@ -35,6 +35,8 @@ def scratch(spark: SparkSession, label: str) -> str:
     global _local_root
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         _local_root = _local_root or tempfile.mkdtemp(prefix="dropforge-")
         root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -34,12 +34,8 @@ def export_path(stem: str, day: date) -> str:
     return f"{stem}_{day.isoformat()}.csv"
 
 
-def export_csv(df: DataFrame, stem: str, day: date, *, sep: str = ";", single_file: bool = False) -> str:
-    """Write ``<stem>_<day>.csv``, a folder of part files with headers.
-
-    ``single_file`` brings the rows to one task; it is for small extracts only.
-    """
+def export_csv(df: DataFrame, stem: str, day: date, *, sep: str = ";") -> str:
+    """Write ``<stem>_<day>.csv``, a folder of part files with headers; the stem may lie in a folder."""
     path = export_path(stem, day)
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
     return path

@@ -83,7 +83,7 @@ def test_observed_counts_on_the_way(spark, tmp_path):
 
 def test_export(spark, tmp_path):
     stem = str(tmp_path / "out" / "report")
-    path = export_csv(frame(spark, (1, 'x;"y"'), (2, "é")), stem, date(2025, 8, 15), single_file=True)
+    path = export_csv(frame(spark, (1, 'x;"y"'), (2, "é")), stem, date(2025, 8, 15))
     assert path == export_path(stem, date(2025, 8, 15)) == stem + "_2025-08-15.csv"
     back = spark.read.option("header", True).option("sep", ";").option("escape", '"').csv(path)
     assert sorted(back.collect()) == [("1", 'x;"y"'), ("2", "é")]
