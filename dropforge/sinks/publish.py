@@ -1,4 +1,4 @@
-"""Row counts, post-load check, and dated exports."""
+"""Row counts, post-load check, dated exports, and copies for consumers."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from dropforge.plans.registry import Views
+from dropforge.sinks.store import Store
+
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per relation with its number of rows; Parquet footers are enough to answer it."""
@@ -39,3 +42,15 @@ def export_csv(df: DataFrame, stem: str, day: date, *, sep: str = ";") -> str:
     path = export_path(stem, day)
     df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
     return path
+
+
+def export_views(views: Views, root: str, stems: dict[str, str], *, sep: str = ";") -> dict[str, str]:
+    """Export views under ``root``, given as view and stem; gives the path of each."""
+    root = root.rstrip("/")
+    return {name: export_csv(views.view(name), f"{root}/{stem}", views.today, sep=sep) for name, stem in stems.items()}
+
+
+def copy_views(views: Views, target: Store, tables: dict[str, str]) -> None:
+    """Save views as tables of a consumer's store, given as view and table."""
+    for name, table in tables.items():
+        target.save(views.view(name), table)

@@ -22,15 +22,15 @@ from dropforge.quality.expectations import (
 )
 from dropforge.session import scratch
 from dropforge.sinks.load import run
-from dropforge.sinks.publish import export_csv, row_counts
+from dropforge.sinks.publish import copy_views, export_csv, export_views, row_counts
 from dropforge.sinks.store import Store
 from dropforge.sources.headers import first_line, guess_delimiter
 from dropforge.sources.landing import newest_per_source
 from dropforge.sources.reader import read_source
 from dropforge.sources.schemas import SOURCES, Source
 from harness.compare import TABLES
-from harness.standins import stand_in, stand_in_sql, table
-from harness.views import view_oracles
+from harness.standins import reader, stand_in, stand_in_sql, table
+from harness.views import RUN_DATE, view_oracles
 
 QUERIES = {}
 SQL = {}
@@ -100,17 +100,23 @@ _calendar(
     "until_last_quarter",
     lambda: F.date_format("o_orderdate", "yyyyMM") <= cal.last_completed_quarter(SUMMER), "y * 100 + m <= 199806",
 )
+
+
+def _day(number):
+    return F.to_date(F.lit(str(number)), "yyyyMMdd")
+
+
 _calendar(
     "rolling_year",
-    lambda: F.date_format("o_orderdate", "yyyyMMdd").cast("int").between(
-        cal.rolling_year_start(SUMMER), cal.rolling_year_end(SUMMER)
-    ),
-    "o_orderdate >= DATE '1997-08-15' AND o_orderdate < DATE '1998-08-15'",
+    lambda: (F.col("o_orderdate") >= _day(cal.rolling_year_start(SUMMER)))
+    & (F.col("o_orderdate") < F.date_add(_day(cal.rolling_year_end(SUMMER)), 1)),
+    "o_orderdate BETWEEN DATE '1997-08-15' AND DATE '1998-08-14'",
 )
 _calendar(
     "years_back_until_yesterday",
-    lambda: F.col("o_orderdate").cast("date").between(cal.first_day_years_ago(SUMMER, 3), str(cal.yesterday(SUMMER))),
-    "o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1998-08-15'",
+    lambda: (F.col("o_orderdate") >= F.lit(cal.first_day_years_ago(SUMMER, 3)).cast("date"))
+    & (F.col("o_orderdate") < F.date_add(F.lit(cal.yesterday(SUMMER)), 1)),
+    "o_orderdate BETWEEN DATE '1995-01-01' AND DATE '1998-08-14'",
 )
 
 
@@ -497,6 +503,25 @@ def table_copy(spark, sf_dir):
     return there.read("fournisseur")
 
 
+@check(view_oracles()["staging__tdb_ic_finess_500"])
+def view_copy(spark, sf_dir):
+    """A view saved as a table of a consumer."""
+    consumer = Store(spark, root=scratch(spark, "consumer"))
+    copy_views(Views(reader(spark, sf_dir), RUN_DATE), consumer, {"staging__tdb_ic_finess_500": "ehpad"})
+    return consumer.read("ehpad")
+
+
+@check(view_oracles()["staging__tdb_ic_siicea_cibles"].replace(
+    "nb_mission_realisees, nb_mission_abandonnees,", "nb_mission_realisees::VARCHAR AS nb_mission_realisees,"
+    " nb_mission_abandonnees::VARCHAR AS nb_mission_abandonnees,"
+).replace("nb_decisions AS nb_decisions_prises", "nb_decisions::VARCHAR AS nb_decisions_prises"))
+def view_export(spark, sf_dir):
+    """A view exported under a dated name and read back as text."""
+    views = Views(reader(spark, sf_dir), RUN_DATE)
+    paths = export_views(views, scratch(spark, "out"), {"staging__tdb_ic_siicea_cibles": "tdb/cibles"})
+    return spark.read.option("header", True).option("sep", ";").csv(*paths.values())
+
+
 @check(view_oracles()["staging__helios_sirec"])
 def published_view(spark, sf_dir):
     """A view read by name after all views were published."""

@@ -3,7 +3,16 @@ from datetime import date
 import pytest
 
 from dropforge.session import scratch
-from dropforge.sinks.publish import export_csv, export_path, observed, require_loaded, row_counts
+from dropforge.plans import Views
+from dropforge.sinks.publish import (
+    copy_views,
+    export_csv,
+    export_path,
+    export_views,
+    observed,
+    require_loaded,
+    row_counts,
+)
 from dropforge.sinks.store import Store
 from dropforge.sources.schemas import SOURCES
 
@@ -67,6 +76,19 @@ def test_copy_to(spark, store, tmp_path):
     assert target.read("renamed").collect() == [(1, "a")]
 
 
+def test_views_for_consumers(spark, store, tmp_path):
+    region = spark.createDataFrame([("84", "Lyon", 1, "N", "n", "ARA")], SOURCES["v_region"].schema)
+    store.save(region, "v_region")
+    store.save(spark.createDataFrame([], SOURCES["v_comer"].schema), "v_comer")
+    views = Views(store.read, "2025-08-15")
+    target = Store(spark, root=str(tmp_path / "consumer"))
+    copy_views(views, target, {"staging__ref_regions": "regions"})
+    assert target.read("regions").collect() == [("84", "N", "ARA")]
+    paths = export_views(views, str(tmp_path / "out"), {"staging__ref_regions": "geo/regions"})
+    assert paths == {"staging__ref_regions": str(tmp_path / "out/geo/regions_2025-08-15.csv")}
+    assert spark.read.option("header", True).option("sep", ";").csv(*paths.values()).collect() == [("84", "N", "ARA")]
+
+
 def test_row_counts_and_post_load_check(spark):
     counts = row_counts({"full": frame(spark, (1, "a")), "empty": frame(spark).limit(0)})
     assert dict(counts.collect()) == {"full": 1, "empty": 0}
