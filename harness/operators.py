@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from dropforge.functions import calendar as cal
 from dropforge.functions import casts, text
+from dropforge.functions.sql import register
 from dropforge.operators.dense_index import dense_index
 from dropforge.operators.items import pipe_items
 from dropforge.plans import Views
@@ -29,7 +30,7 @@ from dropforge.sources.landing import newest_per_source
 from dropforge.sources.reader import read_source
 from dropforge.sources.schemas import SOURCES, Source
 from harness.compare import TABLES
-from harness.standins import reader, stand_in, stand_in_sql, table
+from harness.standins import reader, stand_in, stand_in_sql, table, with_sources
 from harness.views import RUN_DATE, view_oracles
 
 QUERIES = {}
@@ -37,14 +38,14 @@ SQL = {}
 
 
 def check(sql: str | None = None, name: str | None = None):
-    def register(query):
+    def keep(query):
         key = name or query.__name__
         QUERIES[key] = query
         if sql is not None:
             SQL[key] = sql
         return query
 
-    return register
+    return keep
 
 
 # ---- Run-date predicates, over the orders ----
@@ -134,6 +135,39 @@ def run_date_columns(spark, sf_dir):
     )
 
 
+@check(f"""SELECT o_orderkey, y, m FROM {_MONTHS} WHERE ({_pairs(*[(1998, m) for m in (3, 4, 5, 6, 7, 8)])})
+  OR ({_pairs((1997, 1), (1997, 2), (1996, 4))}) OR (y = 1995 AND m <> 7 AND m < 8)""")
+def sql_run_date_predicates(spark, sf_dir):
+    """The predicates as SQL functions, on several run dates."""
+    register(spark)
+    return spark.sql(
+        """SELECT o_orderkey, y, m FROM {orders} WHERE in_last_six_months(y, m, DATE '1998-08-15')
+        OR in_remaining_months(y, m, DATE '1997-08-15') OR is_month_back(y, m, 16, DATE '1997-08-15')
+        OR in_previous_year_and_current(y, m, DATE '1995-08-15')""",
+        orders=_months(spark, sf_dir),
+    )
+
+
+@check(with_sources("sa_siicea_missions_real", """
+  SELECT identifiant_de_la_mission AS id, CASE LENGTH(finess_geographique) WHEN 8 THEN '0' || finess_geographique
+    ELSE finess_geographique END AS cd_finess, SUBSTR(date_reelle_visite, 7, 4) || '-' ||
+    SUBSTR(date_reelle_visite, 4, 2) || '-' || SUBSTR(date_reelle_visite, 1, 2) AS visite
+  FROM sa_siicea_missions_real WHERE SUBSTR(date_reelle_visite, 7, 4) || '-' || SUBSTR(date_reelle_visite, 4, 2) || '-' ||
+    SUBSTR(date_reelle_visite, 1, 2) BETWEEN '2022-01-01' AND '2025-08-14'
+    AND SUBSTR(date_reelle_visite, 7, 4) || SUBSTR(date_reelle_visite, 4, 2) <= '202506'"""))
+def sql_text_functions(spark, sf_dir):
+    """The code and text-date expressions as SQL functions, over the missions."""
+    register(spark)
+    return spark.sql(
+        """SELECT identifiant_de_la_mission AS id, pad_if_length(finess_geographique, 8) AS cd_finess,
+        day_first_to_iso(date_reelle_visite) AS visite FROM {missions}
+        WHERE day_first_to_iso(date_reelle_visite) BETWEEN first_day_years_ago(3, DATE '2025-08-15')
+        AND yesterday(DATE '2025-08-15')
+        AND day_first_to_month(date_reelle_visite) <= last_completed_quarter(DATE '2025-08-15')""",
+        missions=stand_in(spark, sf_dir, "sa_siicea_missions_real"),
+    )
+
+
 # ---- Casts of landed text, over texts made from the orders ----
 
 _RAW = {
@@ -525,6 +559,5 @@ def view_export(spark, sf_dir):
 @check(view_oracles()["staging__helios_sirec"])
 def published_view(spark, sf_dir):
     """A view read by name after all views were published."""
-    views = Views(lambda t: stand_in(spark, sf_dir, t), date(2025, 8, 15))
-    views.publish(prefix="published_")
+    Views(reader(spark, sf_dir), RUN_DATE).publish(prefix="published_")
     return spark.table("published_staging__helios_sirec")
