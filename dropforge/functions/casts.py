@@ -23,10 +23,14 @@ ZERO_TOKENS = ("", "nan")
 DROP_DATE = "d-M-yyyy"
 
 
+# A decimal number; the cast alone would also take ``7d``, ``0x1p3`` and ``Infinity``.
+_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def _finite(c: Column) -> Column:
     """Double value of a text; null when it is no finite number."""
-    d = c.try_cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == float("inf")), None).otherwise(d)
+    d = F.when(c.rlike(_DECIMAL), c.try_cast("double"))
+    return F.when(F.abs(d) < float("inf"), d)
 
 
 def cast_number(c: Column | str, kind: str = "int") -> Column:

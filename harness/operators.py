@@ -171,7 +171,7 @@ def sql_text_functions(spark, sf_dir):
 # ---- Casts of landed text, over texts made from the orders ----
 
 _RAW = {
-    "number": "CASE o_orderkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'nan' WHEN 3 THEN 'abc'"
+    "number": "CASE o_orderkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'nan' WHEN 3 THEN '7d'"
               " WHEN 4 THEN '-3.7' WHEN 5 THEN CAST(o_custkey AS STRING) || '.9' WHEN 6 THEN '1e3'"
               " WHEN 7 THEN '12,5' ELSE CAST(o_orderkey AS STRING) END",
     "flag": "CASE o_orderkey % 13 WHEN 0 THEN 'true' WHEN 1 THEN 'True' WHEN 2 THEN 'tRuE' WHEN 3 THEN '1'"
@@ -234,7 +234,7 @@ def cast_text(spark, sf_dir):
     )
 
 
-@check(f"""SELECT 'number' AS column_name, COUNT(*) AS failures FROM {_RAW_SQL} WHERE number IN ('abc', '12,5')
+@check(f"""SELECT 'number' AS column_name, COUNT(*) AS failures FROM {_RAW_SQL} WHERE number IN ('7d', '12,5')
   UNION ALL SELECT 'flag', COUNT(*) FROM {_RAW_SQL} WHERE flag NOT IN {_KNOWN}
   UNION ALL SELECT 'day', COUNT(*) FROM {_RAW_SQL} WHERE day <> '' AND TRY_STRPTIME(day, '%d-%m-%Y') IS NULL""")
 def cast_failures(spark, sf_dir):

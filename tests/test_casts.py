@@ -9,6 +9,7 @@ from dropforge.functions import casts
 def test_numbers(evaluate):
     values = ["12", "12.9", "-3.7", "nan", "", None, "abc", "NaN", "Infinity", "1e3", "99999999999", " 7 "]
     assert evaluate(casts.cast_number, *values) == [12, 12, -3, 0, 0, 0, 0, 0, 0, 1000, 0, 7]
+    assert evaluate(casts.cast_number, "7d", "1.5f", "0x1p3", "12,5", "1e999", ".5", "5.", "+3") == [0, 0, 0, 0, 0, 0, 5, 3]
     assert evaluate(lambda c: casts.cast_number(c, "bigint"), "99999999999", "5.5") == [99999999999, 5]
     assert evaluate(lambda c: casts.cast_number(c, "float"), "12.5", "", None) == [12.5, 0.0, 0.0]
 
