@@ -53,7 +53,7 @@ def header_report(
     spark: SparkSession, drops: dict[str, Source], headers: dict[str, Header] | None = None
 ) -> DataFrame:
     """``check_headers`` over the first line of each drop (path and source); open sources accept any header."""
-    headers = headers or read_headers(spark, {path: source.sep for path, source in drops.items()})
+    headers = headers or read_headers(spark, drops)
     rows = []
     for path, source in drops.items():
         names = [normalise(cell.strip()) for cell in headers[path][1] if cell.strip()]

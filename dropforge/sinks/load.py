@@ -44,9 +44,10 @@ def run(
     drops = select_drops(spark, landing, sources)
     if not drops:
         raise FileNotFoundError(f"no drop of a declared source under {landing}")
-    headers = read_headers(spark, {path: sources[name].sep for name, path in drops.items()}, at_once)
+    by_path = {path: sources[name] for name, path in drops.items()}
+    headers = read_headers(spark, by_path, at_once)
     if check_headers:
-        require_valid(header_report(spark, {path: sources[name] for name, path in drops.items()}, headers))
+        require_valid(header_report(spark, by_path, headers))
 
     def load(drop):
         name, path = drop

@@ -9,10 +9,11 @@ import csv
 import re
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from dropforge.functions.text import ACCENTED, PLAIN, as_col
+from dropforge.sources.schemas import Source
 
 MAX_NAME = 63
 # Candidate delimiters, the first one winning a tie, and the one taken where none occurs.
@@ -85,18 +86,27 @@ def guess_delimiter(line: Column | str) -> Column:
 Header = tuple[str, list[str]]  # delimiter and raw cells
 
 
-def read_header(spark: SparkSession, path: str, sep: str | None = None) -> Header:
+def read_header(spark: SparkSession, path: str, source: Source) -> Header:
     """Header of a drop. Reads its first line that is not blank, and stops there."""
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
     head = lines.select("value", guess_delimiter("value").alias("sep")).head(1)
     if not head:
-        return sep or DEFAULT_DELIMITER, []
-    sep = sep or head[0]["sep"]
+        return source.sep or DEFAULT_DELIMITER, []
+    sep = source.sep or head[0]["sep"]
+    if source.multiline and head[0]["value"].count('"') % 2:
+        # A quoted header cell goes on in the next line.
+        record = csv_options(spark.read, sep, multiline=True).csv(path).head(1)
+        return sep, [cell or "" for cell in record[0]]
     return sep, next(csv.reader([head[0]["value"].lstrip(_BOM)], delimiter=sep), [])
 
 
-def read_headers(spark: SparkSession, drops: dict[str, str | None], at_once: int = 4) -> dict[str, Header]:
-    """Headers of several drops, given as path and delimiter (none: guess)."""
+def read_headers(spark: SparkSession, drops: dict[str, Source], at_once: int = 4) -> dict[str, Header]:
+    """Headers of several drops, given as path and source."""
     with ThreadPoolExecutor(at_once) as pool:
         headers = pool.map(lambda drop: read_header(spark, *drop), drops.items())
         return dict(zip(drops, headers))
+
+
+def csv_options(reader: DataFrameReader, sep: str, *, multiline: bool) -> DataFrameReader:
+    """Quotes are doubled inside quotes."""
+    return reader.option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multiline)

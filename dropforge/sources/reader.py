@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropforge.functions.casts import cast_to
-from dropforge.sources.headers import Header, column_names, read_header
+from dropforge.sources.headers import Header, column_names, csv_options, read_header
 from dropforge.sources.schemas import Source
 
 MALFORMED = "_malformed"
@@ -19,19 +19,11 @@ def read_text(spark: SparkSession, path: str, source: Source, header: Header | N
     The header is skipped by position and its names are applied here, so repeated and accented headers never
     reach the CSV reader. ``header`` saves reading it again.
     """
-    sep, cells = header or read_header(spark, path, source.sep)
+    sep, cells = header or read_header(spark, path, source)
     names = column_names(cells)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", source.multiline)
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .csv(path)
-    )
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", MALFORMED)
+    return csv_options(reader, sep, multiline=source.multiline).csv(path)
 
 
 def conform(df: DataFrame, source: Source) -> DataFrame:

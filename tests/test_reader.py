@@ -51,7 +51,14 @@ def test_repeated_and_reordered_headers(spark, tmp_path):
 
 def test_leading_blank_line(spark, tmp_path):
     path = drop(tmp_path, "\n   \ncode;libelle;nombre\nx;y;1\n")
-    assert read_header(spark, path) == (";", ["code", "libelle", "nombre"])
+    assert read_header(spark, path, Source("d", "drop")) == (";", ["code", "libelle", "nombre"])
+    assert read_source(spark, path, Source("d", "drop", fields=FIELDS)).collect() == [("x", "y", 1)]
+
+
+def test_multiline_with_bom(spark, tmp_path):
+    path = drop(tmp_path, '"Code";Libellé;Nombre\n"a\nb";x;2\n', encoding="utf-8-sig")
+    source = Source("d", "drop", multiline=True, fields=FIELDS)
+    assert read_source(spark, path, source).collect() == [("a\nb", "x", 2)]
 
 
 def test_short_and_long_rows_are_kept_and_reported(spark, tmp_path):
@@ -64,7 +71,7 @@ def test_short_and_long_rows_are_kept_and_reported(spark, tmp_path):
 
 def test_empty_file(spark, tmp_path):
     path = drop(tmp_path, "")
-    assert read_header(spark, path) == (",", [])
+    assert read_header(spark, path, Source("d", "drop")) == (",", [])
     df = read_source(spark, path, Source("d", "drop", fields=FIELDS))
     assert df.columns == ["code", "libelle", "nombre"] and df.isEmpty()
 
@@ -76,6 +83,12 @@ def test_open_source_keeps_its_header(spark, tmp_path):
     assert df.collect() == [("1", "2", "", "4")]
 
 
+def test_header_cell_over_two_lines(spark, tmp_path):
+    path = drop(tmp_path, '"Code\ninterne";Libellé\na;b\n', encoding="utf-8-sig")
+    df = read_source(spark, path, Source("d", "drop", sep=";", multiline=True))
+    assert df.columns == ["code_interne", "libelle"] and df.collect() == [("a", "b")]
+
+
 def test_dates_and_booleans(spark, tmp_path):
     fields = (T.StructField("d", T.DateType()), T.StructField("b", T.BooleanType()))
     path = drop(tmp_path, "d;b\n31-12-2024;yes\n2024-12-31;\n")
