@@ -100,7 +100,7 @@ def read_header(spark: SparkSession, path: str, source: Source) -> Header:
     return sep, next(csv.reader([head[0]["value"].lstrip(_BOM)], delimiter=sep), [])
 
 
-def read_headers(spark: SparkSession, drops: dict[str, Source], at_once: int = 4) -> dict[str, Header]:
+def read_headers(spark: SparkSession, drops: dict[str, Source], at_once: int = 8) -> dict[str, Header]:
     """Headers of several drops, given as path and source."""
     with ThreadPoolExecutor(at_once) as pool:
         headers = pool.map(lambda drop: read_header(spark, *drop), drops.items())
