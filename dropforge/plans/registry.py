@@ -54,6 +54,15 @@ class Views:
             self._built[name] = VIEWS[name](self)
         return self._built[name]
 
+    def keep(self, store, *names: str) -> None:
+        """Write views to ``store`` and go on from the tables; for dimensions that many views read.
+
+        Views built from now on read the table, whose size is known when their joins are planned.
+        """
+        for name in names:
+            store.save(self.view(name), name)
+            self._built[name] = store.read(name)
+
     def publish(self, *names: str, prefix: str = "") -> list[str]:
         """Register views (all by default) as temp views."""
         out = []

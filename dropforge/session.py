@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -10,8 +11,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def session(app: str = "dropforge", **conf: str) -> SparkSession:
-    """A session with the settings the builders count on; the cluster's own settings win where it has them."""
+PARTITION_BYTES = 512 * 1024**2
+MOST_PARTITIONS = 40_000
+
+
+def shuffle_partitions(data_bytes: int, cores: int = 1) -> int:
+    """Partitions to start a shuffle with: half a gigabyte each, as many as keep the map outputs manageable."""
+    return max(cores, min(math.ceil(data_bytes / PARTITION_BYTES), MOST_PARTITIONS))
+
+
+def session(app: str = "dropforge", *, data_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the builders count on; ``conf`` comes last.
+
+    ``data_bytes``, the size of the largest table, sets how many partitions shuffles start with; adaptive
+    execution brings them down where a shuffle turns out to be small.
+    """
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -21,6 +35,8 @@ def session(app: str = "dropforge", **conf: str) -> SparkSession:
         # more passes that and would be interpreted, so such stages are better not fused.
         "spark.sql.codegen.hugeMethodLimit": "8000",
     }
+    if data_bytes:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes, 200))
     builder = SparkSession.builder.appName(app)
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -497,6 +497,17 @@ def load_run(spark, sf_dir):
     return views.view("staging__ref_geo")
 
 
+@check(view_oracles()["staging__ref_geo"])
+def kept_geography(spark, sf_dir):
+    """The hierarchy over its three dimensions written as tables."""
+    views = Views(reader(spark, sf_dir), RUN_DATE)
+    views.keep(
+        Store(spark, root=scratch(spark, "kept")),
+        "staging__ref_departements", "staging__ref_regions", "staging__ref_communes",
+    )
+    return views.view("staging__ref_geo")
+
+
 @check("""SELECT date_ingestion, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys FROM (
   SELECT DATE '2025-08-14' AS date_ingestion, c_custkey FROM customer
   UNION ALL SELECT DATE '2025-08-15', c_custkey FROM customer WHERE c_nationkey < 12) GROUP BY 1""")

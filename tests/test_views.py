@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from dropforge.plans import VIEWS, Cutoffs, Views
 from dropforge.plans.constants import EXCLUDED_TYPES, THEMES
+from dropforge.sinks.store import Store
 from dropforge.sources.schemas import SOURCES
 
 TODAY = date(2025, 8, 15)
@@ -103,9 +104,9 @@ FACILITIES = [
 ]
 PLACES = {
     "v_commune": [
-        {"com": "01004", "dep": "01", "libelle": "Ambérieu"},
-        {"com": "01004", "dep": "01", "libelle": "Ambérieu (déléguée)"},
-        {"com": "97105", "dep": "971", "libelle": "Basse-Terre"},
+        {"com": "01004", "dep": "01", "reg": "84", "libelle": "Ambérieu"},
+        {"com": "01004", "dep": "01", "reg": "84", "libelle": "Ambérieu (déléguée)"},
+        {"com": "97105", "dep": "971", "reg": "01", "libelle": "Basse-Terre"},
     ],
     "v_departement": [{"dep": "01", "reg": "84", "libelle": "Ain"}, {"dep": "971", "reg": "01", "libelle": "Guadeloupe"}],
     "v_region": [{"reg": "84", "libelle": "ARA"}],
@@ -342,6 +343,17 @@ def test_profile_of_nothing_has_null_sums(sources):
     assert row.longueur_ko_finess is None and row.annee_min is None
 
 
+def test_kept_views_are_read_from_their_table(sources, spark, tmp_path):
+    views = sources(PLACES)
+    before = rows(views.view("staging__ref_geo"), "com_cd", "com_lb", "reg_lb")
+    again = sources(PLACES)
+    again.keep(Store(spark, root=str(tmp_path)), "staging__ref_departements", "staging__ref_regions", "staging__ref_communes")
+    geo = again.view("staging__ref_geo")
+    assert rows(geo, "com_cd", "com_lb", "reg_lb") == before
+    plan = geo._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3 and "Exchange hashpartitioning" not in plan
+
+
 def test_publish(sources, spark):
     names = sources({"v_region": [{"reg": "84"}]}).publish("staging__v_region", "staging__ref_regions")
     assert names == ["staging__v_region", "staging__ref_regions"]
