@@ -24,7 +24,7 @@ DROP_DATE = "d-M-yyyy"
 
 
 # A decimal number; the cast alone would also take ``7d``, ``0x1p3`` and ``Infinity``.
-_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _finite(c: Column) -> Column:

@@ -33,7 +33,7 @@ def run(
     today: str | date | None = None,
     sources: dict[str, Source] | None = None,
     check_headers: bool = True,
-    at_once: int = 8,
+    at_once: int = 4,
 ) -> tuple[Views, DataFrame]:
     """Load the newest drop of every source; gives the views over the store and the row counts.
 

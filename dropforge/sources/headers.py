@@ -69,7 +69,8 @@ def reduce_name(name: str, size: int = MAX_NAME, *, byte_aware: bool = False) ->
 
 def first_line(text: Column | str) -> Column:
     """First line of a text that is not blank."""
-    return F.regexp_extract(as_col(text), r"([^\r\n]*\S[^\r\n]*)", 1)
+    # Anchored to line starts, so that long blank lines are looked at once.
+    return F.regexp_extract(as_col(text), r"(?m)^([^\r\n]*\S[^\r\n]*)", 1)
 
 
 def guess_delimiter(line: Column | str) -> Column:
@@ -100,7 +101,7 @@ def read_header(spark: SparkSession, path: str, source: Source) -> Header:
     return sep, next(csv.reader([head[0]["value"].lstrip(_BOM)], delimiter=sep), [])
 
 
-def read_headers(spark: SparkSession, drops: dict[str, Source], at_once: int = 8) -> dict[str, Header]:
+def read_headers(spark: SparkSession, drops: dict[str, Source], at_once: int = 4) -> dict[str, Header]:
     """Headers of several drops, given as path and source."""
     with ThreadPoolExecutor(at_once) as pool:
         headers = pool.map(lambda drop: read_header(spark, *drop), drops.items())

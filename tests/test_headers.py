@@ -1,7 +1,7 @@
 from hypothesis import given
 from hypothesis import strategies as st
 
-from dropforge.sources.headers import MAX_NAME, column_names, guess_delimiter, normalise, reduce_name
+from dropforge.sources.headers import MAX_NAME, column_names, first_line, guess_delimiter, normalise, reduce_name
 from dropforge.sources.schemas import MAX_LENGTH, SOURCES
 
 
@@ -54,3 +54,9 @@ def test_declared_sources():
             assert all(len(c) <= MAX_NAME for c in s.columns)
     assert SOURCES["sa_sivss"].schema["est_eigs"].metadata == {MAX_LENGTH: 5}
     assert SOURCES["sa_siicea_decisions"].schema["commentaire"].metadata == {MAX_LENGTH: 2048}
+
+
+def test_first_line(evaluate):
+    blank = " " * 50_000
+    got = evaluate(first_line, "a\nb", "\n \t\n\ta;b\nc", "\r\nx\r\ny", "", "  \n ", blank + "\n" + blank + "z")
+    assert got == ["a", "\ta;b", "x", "", "", blank + "z"]
