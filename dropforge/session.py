@@ -11,8 +11,10 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-PARTITION_BYTES = 512 * 1024**2
+MB = 1024**2
+PARTITION_BYTES = 512 * MB
 MOST_PARTITIONS = 40_000
+MOST_SPLITS = 200_000
 
 
 def shuffle_partitions(data_bytes: int, cores: int = 1) -> int:
@@ -20,11 +22,16 @@ def shuffle_partitions(data_bytes: int, cores: int = 1) -> int:
     return max(cores, min(math.ceil(data_bytes / PARTITION_BYTES), MOST_PARTITIONS))
 
 
+def split_bytes(data_bytes: int) -> int:
+    """Bytes a scan task reads: Spark's 128 MB, and up to 1 GB where that would make too many tasks."""
+    return min(max(128 * MB, math.ceil(data_bytes / MOST_SPLITS)), 1024 * MB)
+
+
 def session(app: str = "dropforge", *, data_bytes: int | None = None, **conf: str) -> SparkSession:
     """A session with the settings the builders count on; ``conf`` comes last.
 
-    ``data_bytes``, the size of the largest table, sets how many partitions shuffles start with; adaptive
-    execution brings them down where a shuffle turns out to be small.
+    ``data_bytes``, the size of the largest table, sets how much a scan task reads and how many partitions
+    shuffles start with; adaptive execution brings those down where a shuffle turns out to be small.
     """
     defaults = {
         "spark.sql.adaptive.enabled": "true",
@@ -37,6 +44,7 @@ def session(app: str = "dropforge", *, data_bytes: int | None = None, **conf: st
     }
     if data_bytes:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes, 200))
+        defaults["spark.sql.files.maxPartitionBytes"] = str(split_bytes(data_bytes))
     builder = SparkSession.builder.appName(app)
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -1,4 +1,4 @@
-from dropforge.session import MOST_PARTITIONS, shuffle_partitions
+from dropforge.session import MB, MOST_PARTITIONS, shuffle_partitions, split_bytes
 
 
 def test_shuffle_partitions_follow_the_data():
@@ -7,6 +7,12 @@ def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(100 * 1024**4) == MOST_PARTITIONS
 
 
+def test_scan_splits_follow_the_data():
+    assert split_bytes(10 * 1024**3) == 128 * MB
+    assert 500 * MB < split_bytes(100 * 1024**4) < 600 * MB
+    assert split_bytes(10_000 * 1024**4) == 1024 * MB
+
+
 def test_adaptive_execution_is_on(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"

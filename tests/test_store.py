@@ -45,6 +45,14 @@ def test_history_appends_days_and_replaces_a_day(spark, store):
     assert rows == [(1, "a", date(2025, 1, 1)), (4, "d", date(2025, 1, 2))]
 
 
+def test_history_of_changing_columns(spark, tmp_path):
+    store = Store(spark, root=str(tmp_path))
+    store.append_history(frame(spark, (1, "a")), "t", date(2025, 1, 1))
+    store.append_history(spark.createDataFrame([(2, "x")], "k int, w string"), "t", date(2025, 1, 2))
+    rows = store.history("t", merge_columns=True).select("k", "v", "w").orderBy("k").collect()
+    assert rows == [(1, "a", None), (2, None, "x")]
+
+
 def test_history_prunes_partitions(spark, store):
     store.append_history(frame(spark, (1, "a")), "t", date(2025, 1, 1))
     plan = store.history("t").where("date_ingestion = DATE '2025-01-01'")._jdf.queryExecution().executedPlan().toString()
