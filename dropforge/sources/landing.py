@@ -27,9 +27,9 @@ def newest_per_source(files: DataFrame, root: str, sources) -> DataFrame:
     are matched by an expression over their fixed list and the maximum is taken on the map side first, so a
     keyword with very many files costs one pass over the listing.
     """
-    root = root.rstrip("/")
-    start = F.regexp_extract("path", f"^(.*?{re.escape(root)})/", 1)
-    below = F.substring_index(F.col("path"), root + "/", -1)
+    root = re.sub("^file:/+", "/", root.rstrip("/"))
+    parts = f"^(.*?{re.escape(root)})/(.*)$"
+    start, below = (F.regexp_extract("path", parts, i) for i in (1, 2))
     drops = files.select("modified", start.alias("_root"), below.alias("_below"))
 
     found = []

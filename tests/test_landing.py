@@ -66,3 +66,16 @@ def test_contents_are_not_read(spark, tmp_path):
     put(tmp_path, "SIREC/sirec.csv", 1000)
     plan = newest_per_source(list_files(spark, str(tmp_path)), str(tmp_path), [SOURCES["sa_sirec"]])
     assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in plan._jdf.queryExecution().toString()
+
+
+def test_root_with_a_scheme_or_its_name_further_down(spark, tmp_path):
+    put(tmp_path, "z/INSEE/v_region.csv", 1000)
+    put(tmp_path, "z/z/INSEE/v_region.csv", 2000)
+    found = select_drops(spark, f"file://{tmp_path}/z/", {"v_region": SOURCES["v_region"]})
+    assert found == {"v_region": f"file:{tmp_path}/z/INSEE/v_region.csv"}
+    files = spark.createDataFrame(
+        [("s3a://b/z/INSEE/v_region.csv/part-0", "2024-01-01"), ("s3a://b/z/x/z/INSEE/v_region.csv", "2025-01-01")],
+        "path string, modified string",
+    ).selectExpr("path", "to_timestamp(modified) AS modified")
+    newest = newest_per_source(files, "s3a://b/z", [SOURCES["v_region"]])
+    assert [r["path"] for r in newest.collect()] == ["s3a://b/z/INSEE/v_region.csv"]
