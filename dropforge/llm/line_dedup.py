@@ -90,12 +90,11 @@ WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FRO
 w AS (SELECT doc_id, p, md5(lines[p] || chr(10) || lines[p + 1] || chr(10) || lines[p + 2]) AS key
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS p FROM l)),
 later AS (SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
-gone AS (SELECT DISTINCT doc_id, p + k AS line FROM later, (SELECT unnest([0, 1, 2]) AS k)),
-runs AS (SELECT doc_id, list(line) AS line, count(*) AS n_removed,
-  count(*) FILTER (WHERE before IS NULL OR before < line - 1) AS n_spans
-  FROM (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY line) AS before FROM gone) GROUP BY doc_id)
-SELECT doc_id, len(lines)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-  sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(lines) + 1), i -> NOT list_contains(coalesce(line, []), i)),
-    i -> lines[i]), chr(10)), '')) AS kept_sha256
-FROM l LEFT JOIN runs USING (doc_id)
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM later, (SELECT unnest([0, 1, 2]) AS k)),
+every AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS p, unnest(lines) AS line FROM l),
+marked AS (SELECT e.*, g.p IS NOT NULL AS out FROM every e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.p = g.p),
+runs AS (SELECT *, out AND NOT coalesce(lag(out) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM marked)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE out) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT out), '')) AS kept_sha256
+FROM runs GROUP BY doc_id
 """
