@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dropforge.llm import decontaminate, line_dedup, minhash, source_mix, toxicity
+from dropforge.llm import decontaminate, line_dedup, minhash, quality, source_mix, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_minhash": minhash.op4_minhash,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_source_mix": source_mix.op6_source_mix,
+    "op7_quality": quality.op7_quality,
     "op8_decontaminate": decontaminate.op8_decontaminate,
 }
 SQL = {
