@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dropforge.llm import decontaminate, line_dedup, minhash, quality, source_mix, toxicity
+from dropforge.llm import decontaminate, embedding_dedup, line_dedup, minhash, quality, source_mix, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_source_mix": source_mix.op6_source_mix,
     "op7_quality": quality.op7_quality,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
 }
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
