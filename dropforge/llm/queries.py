@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dropforge.llm import decontaminate, embedding_dedup, line_dedup, minhash, quality, source_mix, toxicity
+from dropforge.llm import decontaminate, embedding_dedup, html_extract, line_dedup, minhash, quality, source_mix, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op3_html_extract": html_extract.op3_html_extract,
     "op4_minhash": minhash.op4_minhash,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_source_mix": source_mix.op6_source_mix,
