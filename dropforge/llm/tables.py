@@ -30,7 +30,13 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` reads, as far as the planner knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.length())]
+    return sum(s for s in sizes if s < 2**60)  # rows without files have no known size
+
+
 def blocks_for(df: DataFrame, bytes_per_block: int, least: int = 1) -> int:
     """Groups to deal the rows of ``df`` to, so that each holds about ``bytes_per_block`` of its input."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(least, -(-min(size, 2**62) // bytes_per_block))
+    return max(least, -(-input_bytes(df) // bytes_per_block))
