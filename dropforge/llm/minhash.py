@@ -9,9 +9,11 @@ copies shares can't be outweighed by one changed sentence.
 (two gamma, one uniform) are read from a fixed table at a hashed place; the sample is the shingle of the smallest value
 with its quantised weight. Texts of equal words are one class first, represented by the smallest doc_id; representatives
 that share a band are candidates. A band's group is not turned into all its pairs: it is compared with its most connected
-member, and what is not linked by that, with the next ones, round after round; what stays apart after ``STAR_ROUNDS`` is
-compared in full, across the parts that are still apart. Every candidate link is verified by the exact weighted
-Jaccard similarity of the two whole texts, at least ``SIMILARITY``. Classes are the connected components.
+member, and what is not linked by that, with the next one, for ``STAR_ROUNDS`` rounds. Texts of groups that still hold
+several parts are gathered into regions, and there everything outside the region's main part is compared with everything
+it shares a band with, block against block of ``BLOCK`` texts, each pair of blocks in a task of its own that gives back
+only the links it finds. Every link is verified by the exact weighted Jaccard similarity of the two whole texts, at least
+``SIMILARITY``. Classes are the connected components.
 
 * A text of fewer than five words is one shingle of all its words; one without words (null, empty) is alone in its class.
 * A null id comes after all others; its class is that of its text. Rows with equal id and words are one document.
@@ -35,7 +37,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 FEATURES = 1 << 16
 BANDS, ROWS = 16, 5
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
+BLOCK = 256
 _PARTS = 16
 _TABLE = 1 << 16
 
@@ -183,6 +186,59 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: np.ndarray, label: st
     return written(similarities(pairs.join(sides[0], "a").join(sides[1], "b"), weights).where(F.col("similarity") >= SIMILARITY), label)
 
 
+def _across_parts(state: DataFrame, texts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """Links ``a, b`` between texts of different parts that share a band, block by block."""
+    lowest = state.groupBy("band", "hash").agg(F.min("id").alias("b"))
+    regions = components(state.join(lowest, ["band", "hash"]).select(F.col("id").alias("a"), "b"))
+    inside = written(state.select("id", "part").distinct().join(regions, "id").withColumnRenamed("component", "region"), "minhash-regions")
+    sizes = inside.groupBy("region", "part").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("region").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    inside = inside.join(sizes.select("region", F.col("m.part").alias("main"), blocks(F.col("all") - F.col("m.n")).alias("lefts"), blocks(F.col("all")).alias("rights")), "region")
+    slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = inside.where("part <> main").select("region", "id", "part", "main", slot("lefts").alias("l"), every("rights").alias("r"), F.lit(0).alias("side"))
+    right = inside.select("region", "id", "part", "main", every("lefts").alias("l"), slot("rights").alias("r"), F.lit(1).alias("side"))
+    sent = state.sparkSession.sparkContext.broadcast(weights)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).combine_chunks()  # at most two blocks
+        side, ids, part, main = (rows[c].to_numpy() for c in ("side", "id", "part", "main"))
+        made, counts, starts, _, _ = weighted_shingles(rows["text"].combine_chunks())
+        w = counts * sent.value[(made % np.uint64(FEATURES)).astype(np.int64)]
+        mass = np.bincount(np.repeat(np.arange(len(ids)), np.diff(starts)), w, len(ids))
+        shared = np.array(rows["bands"].to_pylist(), np.int64).reshape(len(ids), -1)
+        others, label, a, b = np.flatnonzero(side == 1), dict(zip(part.tolist(), part.tolist(), strict=True)), [], []
+
+        def root(x):
+            while label[x] != x:
+                x = label[x]
+            return x
+
+        for i in np.flatnonzero(side == 0):
+            # Two texts outside the main part meet twice; the smaller id looks.
+            js = others[(part[others] != part[i]) & ((part[others] == main[i]) | (ids[others] > ids[i])) & (shared[others] == shared[i]).any(1)]
+            js = js[np.minimum(mass[js], mass[i]) >= SIMILARITY * np.maximum(mass[js], mass[i])]
+            if not len(js):
+                continue
+            own = slice(starts[i], starts[i + 1])
+            sizes = starts[js + 1] - starts[js]
+            at = np.repeat(starts[js] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            place = np.minimum(np.searchsorted(made[own], made[at]), sizes.dtype.type(own.stop - own.start - 1))
+            both = np.where(made[own][place] == made[at], np.minimum(w[own][place], w[at]), 0.0)
+            low = np.bincount(np.repeat(np.arange(len(js)), sizes), both, len(js))
+            for j in js[low / (mass[i] + mass[js] - low) >= SIMILARITY].tolist():
+                x, y = root(int(part[i])), root(int(part[j]))
+                if x != y:  # one link between two parts is enough
+                    label[x] = y
+                    a.append(int(ids[i]))
+                    b.append(int(ids[j]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return left.unionByName(right).join(texts, "id").groupBy("region", "l", "r").applyInArrow(compare, "a long, b long")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``id, d0, d1, n_words, class_id`` for every document; ``id`` is the doc_id, the largest number for a null one."""
     weights = feature_weights(*document_frequencies(docs))
@@ -199,7 +255,8 @@ def classes(docs: DataFrame) -> DataFrame:
     inside = docs.select(ordered_id().alias("doc"), "text")
     ids = members.select("id").distinct()
     nodes = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), F.col("rep").alias("doc"), "d0", "d1").join(ids, "id")
-    texts = written(_texts_of(inside, nodes), "minhash-texts")
+    bands = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), "bands")
+    texts = written(_texts_of(inside, nodes).join(bands, "id"), "minhash-texts")
     links, used = None, None
     for turn in range(STAR_ROUNDS + 1):
         state = members
@@ -207,22 +264,20 @@ def classes(docs: DataFrame) -> DataFrame:
             parts = components(links).select("id", F.col("component").alias("c"))
             state = written(members.drop("part").join(parts, "id", "left").withColumn("part", F.coalesce("c", "id")).drop("c"), "minhash-state")
         apart = state.groupBy("band", "hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band", "hash")
-        state = state.join(apart, ["band", "hash"])
-        if turn < STAR_ROUNDS:
+        state = written(state.join(apart, ["band", "hash"]), "minhash-apart")
+        if state.isEmpty():
+            break
+        if turn == STAR_ROUNDS:
+            found = written(_across_parts(state, texts, weights), "minhash-links")
+        else:
             centres = state if used is None else state.join(used, ["band", "hash", "id"], "left_anti")
             centres = centres.groupBy("band", "hash").agg(F.max(F.struct("popular", "id", "part")).alias("c"))
             centres = centres.select("band", "hash", F.col("c.id").alias("centre"), F.col("c.part").alias("centre_part"))
             pairs = state.join(centres, ["band", "hash"]).where("part <> centre_part").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
             now = centres.select("band", "hash", F.col("centre").alias("id"))
             used = written(now if used is None else used.unionByName(now), "minhash-centres")
-        else:
-            other = state.select("band", "hash", F.col("id").alias("b"), F.col("part").alias("other"))
-            pairs = state.withColumnRenamed("id", "a").join(other, ["band", "hash"]).where("a < b AND part <> other").select("a", "b")
-        pairs = written(pairs.distinct(), "minhash-pairs")
-        if pairs.isEmpty():
-            break
-        found = _verified(pairs, texts, weights, "minhash-links")
-        links = found if links is None else written(links.unionByName(found), "minhash-links")
+            found = _verified(written(pairs.distinct(), "minhash-pairs"), texts, weights, "minhash-links")
+        links = found.select("a", "b") if links is None else written(links.unionByName(found.select("a", "b")), "minhash-links")
     out = signed.select("id", "d0", "d1", "n_words")
     own = representatives.select("d0", "d1", "rep", F.xxhash64("rep", "d0", "d1").alias("node"))
     if links is not None:

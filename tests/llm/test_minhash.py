@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from dropforge.llm import minhash
 from dropforge.llm.words import shingles, words
@@ -42,7 +43,10 @@ def brute(docs):
     return sorted((2**63 - 1 if d is None else d, min(groups[root(i)])) for i, (d, _) in enumerate(docs))
 
 
-def test_classes_equal_brute_force(spark):
+@pytest.mark.parametrize("stars, block", [(2, 256), (0, 3), (1, 256)])
+def test_classes_equal_brute_force(spark, monkeypatch, stars, block):
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", stars)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rnd = random.Random(3)
     vocabulary = [f"w{i}" for i in range(400)]
     docs = []
