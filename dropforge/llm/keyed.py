@@ -130,11 +130,11 @@ def answers(asked: DataFrame, reply: Callable, sums: int = 1, pick: str = "first
     return asked.groupBy("span").applyInArrow(answer, schema)
 
 
-def told(rows: pa.Table, tag: int) -> list[np.ndarray]:
-    """The reply columns to one block, in the order of its keys."""
+def told(rows: pa.Table, tag: int, columns: int = 1) -> list[np.ndarray]:
+    """The reply columns to one block, in the order of its keys; empty ones to a block that asked nothing."""
     own = rows.filter(pc.equal(rows["tag"], tag)).sort_by("span")
     parts = [[unpacked(p, n.as_py()) for p in _split(data.as_py())] for n, data in zip(own["n"], own["payload"], strict=True)]
-    return [np.concatenate(c) for c in zip(*parts, strict=True)]
+    return [np.concatenate(c) for c in zip(*parts, strict=True)] or [np.zeros(0, np.uint64)] * columns
 
 
 def tagged(replies: list[DataFrame]) -> DataFrame:

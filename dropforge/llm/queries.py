@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from dropforge.llm import decontaminate, embedding_dedup, html_extract, line_dedup, minhash, quality, source_mix, toxicity
+from dropforge.llm import decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, quality, source_mix, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_html_extract": html_extract.op3_html_extract,
     "op4_minhash": minhash.op4_minhash,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_source_mix": source_mix.op6_source_mix,
     "op7_quality": quality.op7_quality,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_katz": katz.op9_katz,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
 }
 SQL = {
