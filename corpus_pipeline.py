@@ -17,20 +17,26 @@ from dropforge.llm.tables import table, written
 from dropforge.llm.toxicity import score_toxicity
 
 
+def _carrying(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns an operator looks at, beside the whole row, so that no other column can clash with what it adds."""
+    return docs.select(*columns, F.struct(*docs.columns).alias("_row"))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go."""
-    named = docs.withColumn("_row", F.struct(*docs.columns)).select("doc_id", "text", "_row")
-    scored = score_toxicity(named, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(_carrying(docs, "doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.where("predicted = 0").select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages of three lines or more go; a document keeps its other lines, ``n_chars`` follows them."""
-    found = dedup_lines(docs)
+    found = dedup_lines(_carrying(docs, "doc_id", "text"))
     changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(changed, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.select(*[{"text": text, "n_chars": n_chars}.get(c, F.col(c)).alias(c) for c in docs.columns])
+    new = {
+        "text": F.when(changed, F.col("kept_text")).otherwise(F.col("_row.text")),
+        "n_chars": F.when(changed, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars")),
+    }
+    return found.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +51,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the mix takes, with how many copies (``copies``) and words (``taken``) it takes of each."""
-    return mix(docs).where("copies > 0").select(*docs.columns, "copies", "taken")
+    mixed = mix(_carrying(docs, "doc_id", "source", "text")).where("copies > 0")
+    return mixed.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in ("copies", "taken")], "copies", "taken")
 
 
 STAGES = [

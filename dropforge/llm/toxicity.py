@@ -180,14 +180,16 @@ class LabelModel:
             self.rest = (cov - np.outer(strength, strength)) / np.outer(deviation, deviation)
             np.fill_diagonal(self.rest, 0)
             self.correlated = np.abs(self.rest) > 0.15
-        # From the strengths to the chances to vote in either class; voters of unknown strength keep their rate in both.
+        # From the strengths to the chances to vote in either class; a voter of unknown strength is believed to be right
+        # four times in five.
         spread = np.sqrt(self.prior * (1 - self.prior))
         gap = strength / spread
         low = 0.1 / rows
         self.other = np.clip(rate - self.prior * gap, low, 0.999)
         self.toxic = np.clip(rate + (1 - self.prior) * gap, low, 0.999)
         known = strength > 0
-        self.toxic = np.where(known, self.toxic, self.other)
+        self.other = np.where(known, self.other, np.clip(0.2 * rate / (1 - self.prior), low, 0.999))
+        self.toxic = np.where(known, self.toxic, np.clip(0.8 * rate / self.prior, low, 0.999))
         # Votes that come together for other reasons than the class share one voice.
         self.share = 1 / (1 + np.where(self.correlated, np.clip(self.rest, 0, 1), 0).sum(1))
 
