@@ -9,6 +9,7 @@ however often its documents hold it, so no key is hot.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -126,6 +127,7 @@ def answers(asked: DataFrame, reply: Callable, sums: int = 1, pick: str = "first
             pa.array(np.append(blocks, -1)), pa.array(np.full(len(counts) + 1, span, np.int32)), pa.array(np.append(counts, 0)), binary_array([*payload, b""]),
             *[pa.array(every[:, k]) for k in range(sums)],
         ], [f.split()[0] for f in schema.split(", ")])
+        _hand_back()
 
     return asked.groupBy("span").applyInArrow(answer, schema)
 
@@ -150,6 +152,14 @@ def totals(replies: DataFrame, sums: int) -> list[int]:
     return [int(x or 0) for x in row]
 
 
+def _hand_back() -> None:
+    """Give freed memory back to the system: the next block may be in another worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def per_block(blocks: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function(block, rows)`` on every block; it yields record batches."""
 
@@ -157,6 +167,7 @@ def per_block(blocks: DataFrame, function: Callable, schema: str) -> DataFrame:
         rows = pa.Table.from_batches(list(batches))
         if rows.num_rows:
             yield from function(int(rows["block"][0].as_py()), rows)
+        _hand_back()
 
     return blocks.groupBy("block").applyInArrow(run, schema)
 
@@ -168,6 +179,7 @@ def with_answers(blocks: DataFrame, replies: list[DataFrame], function: Callable
         if not rows.num_rows:
             return pa.Table.from_batches([], schema=_arrow(schema, rows))
         out = list(function(int(rows["block"][0].as_py()), rows, got))
+        _hand_back()
         return pa.Table.from_batches(out) if out else pa.Table.from_batches([], schema=_arrow(schema, rows))
 
     return blocks.groupBy("block").cogroup(tagged(replies).groupBy("block")).applyInArrow(run, schema)

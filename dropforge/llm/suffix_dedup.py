@@ -36,18 +36,24 @@ from dropforge.llm.tables import LAST_ID, ordered_id, table, whole_text, written
 from dropforge.llm.words import hash_spans, mixed, text_bytes
 
 LENGTH = 50
-GRAM = 16
-_STEPS = LENGTH - GRAM + 1
-PHRASE_BITS = 48
-
-
-def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """The mixed rolling hash of every ``GRAM`` bytes, built by doubling."""
-    h, base, width = raw.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15, 1
-    while width < GRAM:
-        h = h[: len(h) - width] * np.uint64(base) + h[width:]
+GRAM = 24
+TRIGGER_BITS, CONTENT_BITS = 56, 40  # a phrase is told by both
+BLOCK_ROWS = 1250
+
+
+def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """The mixed rolling hash of every ``gram`` bytes, put together from those of 1, 2, 4, .. bytes."""
+    part, base, width = raw.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15, 1
+    whole, done = None, 0
+    while True:
+        if gram & width:
+            n = len(raw) - done - width + 1
+            whole = part[:n] if whole is None else whole[:n] * np.uint64(base) + part[done : done + n]
+            done += width
+        if 2 * width > gram:
+            return mixed(whole)
+        part = part[: len(part) - width] * np.uint64(base) + part[width:]
         base, width = base * base % 2**64, 2 * width
-    return mixed(h)
 
 
 def cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -58,11 +64,11 @@ def cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     grams = gram_hashes(raw)
     shift = np.uint64(max(1, int(len(raw)).bit_length()))
     best = (grams >> shift << shift) | np.arange(len(grams), dtype=np.uint64)
-    width = 1
-    while 2 * width <= _STEPS:
+    width, steps = 1, LENGTH - GRAM + 1
+    while 2 * width <= steps:
         best = np.minimum(best[:-width], best[width:])
         width *= 2
-    rest = _STEPS - width
+    rest = steps - width
     if rest:
         best = np.minimum(best[:-rest], best[rest:])
     trigger = (best & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
@@ -104,9 +110,9 @@ class Parse:
         for part in text_parts(rows):
             raw, offsets = text_bytes(part.column(part.schema.names.index("text")))
             first, last, at, text, gram = cut(raw, offsets)
-            content = (hash_spans(raw, first, last + LENGTH) ^ mixed((at - first).astype(np.uint64))) >> np.uint64(64 - PHRASE_BITS)
+            content = (hash_spans(raw, first, last + LENGTH) ^ mixed((at - first).astype(np.uint64))) >> np.uint64(64 - CONTENT_BITS)
             self.parts.append((raw, offsets, done, len(first)))
-            for c, v in zip(columns, (gram, content, ids[done + text], first, last, np.full(len(first), len(self.parts) - 1)), strict=True):
+            for c, v in zip(columns, (gram >> np.uint64(64 - TRIGGER_BITS), content, ids[done + text], first, last, np.full(len(first), len(self.parts) - 1)), strict=True):
                 c.append(v)
             starts.append(len(first))
             done += part.num_rows
@@ -173,11 +179,11 @@ def _earlier(reply: np.ndarray, own: np.ndarray) -> np.ndarray:
 def dedup_suffixes(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every document and, if asked for, the ``kept`` bytes."""
     slim = docs.select(ordered_id().alias("id"), whole_text().alias("text"))
-    blocks, ranges = blocked(slim, "suffix")
+    blocks, ranges = blocked(slim, "suffix", BLOCK_ROWS)
 
     def ask_phrases(block, rows):
         p = Parse(rows)
-        yield question(block, p.gram[p.sample], [p.content[p.sample], _signed(p.smallest)], ranges, 64)
+        yield question(block, p.gram[p.sample], [p.content[p.sample], _signed(p.smallest)], ranges, TRIGGER_BITS)
 
     phrases = written(answers(per_block(blocks, ask_phrases, ASKED), _reply_phrases), "suffix-phrases")
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from dropforge.llm import keyed, suffix_dedup
@@ -27,7 +28,7 @@ def brute(docs):
 
 @pytest.mark.parametrize("block_rows, slice_bytes", [(2500, 1 << 20), (3, 700)])
 def test_equals_brute_force(spark, monkeypatch, block_rows, slice_bytes):
-    monkeypatch.setattr(suffix_dedup, "blocked", lambda d, label: keyed.blocked(d, label, block_rows))
+    monkeypatch.setattr(suffix_dedup, "blocked", lambda d, label, _: keyed.blocked(d, label, block_rows))
     parts = keyed.text_parts
     monkeypatch.setattr(suffix_dedup, "text_parts", lambda rows: parts(rows, most=slice_bytes))
     rnd = random.Random(11)
@@ -47,3 +48,14 @@ def test_equals_brute_force(spark, monkeypatch, block_rows, slice_bytes):
     found = sorted((*r[:5], bytes(r[5])) for r in suffix_dedup.dedup_suffixes(d).collect())
     assert found == brute(docs)
     assert suffix_dedup.dedup_suffixes(d.limit(0)).collect() == []
+
+
+def test_rolling_hash_is_that_of_the_bytes():
+    raw = np.frombuffer(b"abcabcabcdabcabcabcd" * 3, np.uint8)
+    for n in (1, 2, 3, 5, 8, 24):
+        h = suffix_dedup.gram_hashes(raw, n).tolist()
+        assert len(h) == len(raw) - n + 1
+        seen = {}
+        for i, x in enumerate(h):
+            assert seen.setdefault(raw[i : i + n].tobytes(), x) == x
+        assert len(set(h)) == len(seen)
