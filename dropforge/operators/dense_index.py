@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 DIGITS = 4
 CHUNK = 100_000
+MOST_DIGITS = 5
 
 _NULL = "\u0000"  # stands for null in a digest
 _SEP = "\u001f"
@@ -31,7 +32,13 @@ def _digest(columns, chunk):
 
 
 def dense_index(df: DataFrame, name: str = "index", *, digits: int = DIGITS, chunk: int = CHUNK) -> DataFrame:
-    """Add ``name``, a bigint 1..n in an order fixed by the row values. Columns must be orderable."""
+    """Add ``name``, a bigint 1..n in an order fixed by the row values. Columns must be orderable.
+
+    Copies of one row have neighbouring numbers up to ``chunk`` of them; more are numbered in several runs. The
+    table of bucket sizes is summed in one task and broadcast, so ``digits`` may be ``MOST_DIGITS`` at most.
+    """
+    if not 1 <= digits <= MOST_DIGITS:
+        raise ValueError(f"digits must be from 1 to {MOST_DIGITS}")
     columns = df.columns
     order = [F.col(c) for c in columns]
 

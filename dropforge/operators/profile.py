@@ -13,8 +13,8 @@ def input_profile(
 ) -> DataFrame:
     """Profile ``df``; ``key_count`` and ``length_kinds`` name the two distinct counts (the latter is optional).
 
-    The distinct counts are a branch of their own: mixed with minima of text they would force sorted
-    aggregation over an expanded input. Each branch reads only its own columns.
+    Each distinct count is a branch of its own, which reads only its column: together, or mixed with minima of
+    text, they would expand the input or sort it.
     """
 
     def length_is(n):
@@ -32,11 +32,11 @@ def input_profile(
         F.max(year).alias("annee_max"),
         F.max(month).alias("mois_max"),
     )
-    kinds = [F.count_distinct(F.col(key)).alias(key_count)]
+    profile = one_row(plain, df.agg(F.count_distinct(F.col(key)).alias(key_count)))
     if length_kinds:
-        kinds.append(F.count_distinct(F.length(code)).alias(length_kinds))
+        profile = one_row(profile, df.agg(F.count_distinct(F.length(code)).alias(length_kinds)))
     names = ["nombre_de_lignes", key_count, "longueur_ko_finess", "longueur_ok_finess"]
     names += [length_kinds] if length_kinds else []
     names += ["date_reelle_visite_plus_ancienne", "date_reelle_visite_plus_recente"]
     names += ["annee_min", "mois_min", "annee_max", "mois_max"]
-    return one_row(plain, df.agg(*kinds)).select(*names)
+    return profile.select(*names)

@@ -162,7 +162,8 @@ def targets_with_missions(views):
     """Targets beside their done missions in the window, many to many.
 
     The filters on the mission side make the left join an inner one, so they go below the join and both sides
-    may be split where a facility code is hot.
+    may be split where a facility code is hot. Blank codes are equal to each other, as they have always been: the
+    number of their rows is that of blank targets times blank missions. ``blank_codes=False`` leaves them out.
     """
     targets = views.view("staging__sa_siicea_cibles")
     picked = ("date_reelle_visite", "statut_de_la_mission", "secteur_d_intervention", "type_de_mission")
@@ -176,4 +177,6 @@ def targets_with_missions(views):
         )
         .select(F.col("finess_geographique").alias("_finess"), *picked)
     )
+    if not views.blank_codes:
+        targets, missions = targets.where("finess <> ''"), missions.where("_finess <> ''")
     return targets.join(missions, targets["finess"] == missions["_finess"]).select(*targets.columns, *picked)

@@ -31,7 +31,8 @@ class Views:
 
     ``fixed`` outputs the columns two views lose to a missing comma; ``lenient`` turns impossible dates into
     nulls instead of failing; ``overseas_departments`` takes three characters of overseas communes wherever a
-    department is cut out of a commune code.
+    department is cut out of a commune code. ``blank_codes=False`` leaves targets and missions without a facility
+    code out of their join: landed nulls are blank texts, so by default every such target meets every such mission.
     """
 
     read: Callable[[str], DataFrame]
@@ -40,6 +41,7 @@ class Views:
     fixed: bool = False
     lenient: bool = False
     overseas_departments: bool = False
+    blank_codes: bool = True
     _built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:

@@ -13,13 +13,16 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 MB = 1024**2
 PARTITION_BYTES = 512 * MB
-MOST_PARTITIONS = 40_000
 MOST_SPLITS = 200_000
 
 
-def shuffle_partitions(data_bytes: int, cores: int = 1) -> int:
-    """Partitions to start a shuffle with: half a gigabyte each, as many as keep the map outputs manageable."""
-    return max(cores, min(math.ceil(data_bytes / PARTITION_BYTES), MOST_PARTITIONS))
+def shuffle_partitions(data_bytes: int, cores: int = 1, most: int | None = None) -> int:
+    """Partitions to start a shuffle with: half a gigabyte each at any size.
+
+    ``most`` limits them, for a driver that can't keep the state of so many; partitions then grow with the data.
+    """
+    wanted = max(cores, math.ceil(data_bytes / PARTITION_BYTES))
+    return min(wanted, most) if most else wanted
 
 
 def split_bytes(data_bytes: int) -> int:
@@ -27,11 +30,14 @@ def split_bytes(data_bytes: int) -> int:
     return min(max(128 * MB, math.ceil(data_bytes / MOST_SPLITS)), 1024 * MB)
 
 
-def session(app: str = "dropforge", *, data_bytes: int | None = None, **conf: str) -> SparkSession:
+def session(
+    app: str = "dropforge", *, data_bytes: int | None = None, most_partitions: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the builders count on; ``conf`` comes last.
 
     ``data_bytes``, the size of the largest table, sets how much a scan task reads and how many partitions
-    shuffles start with; adaptive execution brings those down where a shuffle turns out to be small.
+    shuffles start with, ``most_partitions`` at most if given; adaptive execution brings those down where a shuffle turns
+    out to be small.
     """
     defaults = {
         "spark.sql.adaptive.enabled": "true",
@@ -43,7 +49,7 @@ def session(app: str = "dropforge", *, data_bytes: int | None = None, **conf: st
         "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     if data_bytes:
-        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes, 200))
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes, 200, most_partitions))
         defaults["spark.sql.files.maxPartitionBytes"] = str(split_bytes(data_bytes))
     builder = SparkSession.builder.appName(app)
     for key, value in {**defaults, **conf}.items():
@@ -64,3 +70,9 @@ def scratch(spark: SparkSession, label: str) -> str:
         _local_root = _local_root or tempfile.mkdtemp(prefix="dropforge-")
         root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, wherever Spark can read it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -1,31 +1,48 @@
-"""The load run: choose drops, check headers, conform, save, keep history, publish views."""
+"""The load run: choose drops, check headers, conform, save with history, report what could not be used."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from dropforge.functions.calendar import reference_date
 from dropforge.plans.registry import Views
-from dropforge.quality.drops import header_report, require_valid
-from dropforge.sinks.publish import require_loaded, row_counts
+from dropforge.quality.drops import header_report, issues, require_valid
+from dropforge.quality.expectations import Expectation, violation_counts
+from dropforge.sinks.publish import require_loaded
 from dropforge.sinks.store import Store
 from dropforge.sources.headers import Header, read_headers
 from dropforge.sources.landing import select_drops
-from dropforge.sources.reader import read_source
+from dropforge.sources.reader import MALFORMED, conform, fault_counts, good_rows, malformed_rows, read_text
 from dropforge.sources.schemas import SOURCES, Source
 
+REJECTED = "_rejected"
+FAULTS = "table_name string, fault string, column_name string, found long"
 
-def load_drop(store: Store, path: str, source: Source, day: date, header: Header | None = None) -> None:
-    """Conform one drop into its table and add the table to the history."""
-    store.save(read_source(store.spark, path, source, header), source.name)
-    # From the saved table: the drop is parsed once.
-    store.append_history(store.read(source.name), source.name, day)
 
+def load_drop(store: Store, path: str, source: Source, day: date, header: Header | None = None) -> dict[str, int]:
+    """Conform one drop into its table and history; gives the counts of ``fault_counts``, taken on the way.
 
-def run(
+    Rows of another width than the header go to the history of ``<table>_rejected``, as they are in the drop. A drop
+    without such rows is parsed once.
+    """
+    raw = read_text(store.spark, path, source, header)
+    counts = fault_counts(raw, source)
+    seen = Observation()
+    passed = raw.observe(seen, *[c.alias(f"n{i}") for i, c in enumerate(counts.values())])
+    store.load(conform(good_rows(passed), source), source.name, day)
+    found = {name: seen.get[f"n{i}"] or 0 for i, name in enumerate(counts)}
+    rejected = source.name + REJECTED
+    if found["malformed"] or store.has_history(rejected):
+        rows = malformed_rows(raw).select(F.lit(path).alias("drop"), F.col(MALFORMED).alias("row"))
+        store.append_history(rows, rejected, day)
+    return found
+
+
+def load_all(
     spark: SparkSession,
     landing: str,
     store: Store,
@@ -33,12 +50,23 @@ def run(
     today: str | date | None = None,
     sources: dict[str, Source] | None = None,
     check_headers: bool = True,
+    on_invalid: str = "stop",
+    most_malformed: float | None = None,
+    suites: dict[str, list[Expectation]] | None = None,
     at_once: int = 4,
-) -> tuple[Views, DataFrame]:
-    """Load the newest drop of every source; gives the views over the store and the row counts.
+) -> tuple[Views, DataFrame, DataFrame]:
+    """Load the newest drop of every source; gives the views over the store, the row counts and the faults.
+
+    All declared tables are there after it, empty where no drop came. ``on_invalid="skip"`` loads the other drops when
+    one has another header than declared. ``most_malformed`` stops the run after loading if a larger share of a
+    drop's rows was rejected. ``suites`` are expectations to count violations of, by table. ``at_once`` drops are
+    loaded side by side, so that small ones do not leave the cluster waiting.
 
-    ``at_once`` drops are loaded side by side, so that small ones do not leave the cluster waiting.
+    Faults are rows ``table_name, fault, column_name, found``: ``malformed`` rows, ``failed_cast``,
+    ``unmapped_boolean``, ``cut_text``, ``header`` (with the issue for a column) and violated expectations.
     """
+    if on_invalid not in ("stop", "skip"):
+        raise ValueError("on_invalid is 'stop' or 'skip'")
     sources = sources or SOURCES
     day = reference_date(today)
     drops = select_drops(spark, landing, sources)
@@ -46,15 +74,46 @@ def run(
         raise FileNotFoundError(f"no drop of a declared source under {landing}")
     by_path = {path: sources[name] for name, path in drops.items()}
     headers = read_headers(spark, by_path, at_once)
+    faults = []
     if check_headers:
-        require_valid(header_report(spark, by_path, headers))
+        report = header_report(spark, by_path, headers)
+        if on_invalid == "stop":
+            require_valid(report)
+        else:
+            wrong = [(r["file"], r["issue"]) for r in issues(report).collect()]  # a few rows per drop at most
+            faults += [(by_path[f].name, "header", issue, 1) for f, issue in wrong]
+            drops = {name: path for name, path in drops.items() if path not in {f for f, _ in wrong}}
 
     def load(drop):
         name, path = drop
-        load_drop(store, path, sources[name], day, headers[path])
+        return load_drop(store, path, sources[name], day, headers[path])
+
+    def declare(source):
+        if source.fields is not None and source.name not in drops:
+            store.declare(source)
 
     with ThreadPoolExecutor(at_once) as pool:
-        list(pool.map(load, drops.items()))
-    counts = row_counts({name: store.read(name) for name in drops})
+        list(pool.map(declare, sources.values()))
+        found = dict(zip(drops, pool.map(load, drops.items()), strict=True))
+    for name, counts in found.items():
+        for key, n in counts.items():
+            if n and key != "rows":
+                faults.append((name, *(key.split(":", 1) if ":" in key else (key, "")), n))
+    counts = spark.createDataFrame([(name, n["rows"]) for name, n in found.items()], "table_name string, row_count long")
     require_loaded(counts)
-    return Views(store.read, day), counts
+    report = spark.createDataFrame(faults, FAULTS)
+    for table, suite in (suites or {}).items():
+        violated = violation_counts(store.read(table), suite).where("violations > 0")
+        report = report.unionByName(violated.select(
+            F.lit(table).alias("table_name"), F.concat(F.lit("expectation:"), "expectation").alias("fault"), "column_name", F.col("violations").alias("found")
+        ))
+    if most_malformed is not None:
+        over = [n for n, c in found.items() if c["malformed"] > most_malformed * (c["rows"] + c["malformed"])]
+        if over:
+            raise RuntimeError(f"too many malformed rows: {', '.join(sorted(over))}")
+    return Views(store.read, day), counts, report
+
+
+def run(spark: SparkSession, landing: str, store: Store, **options) -> tuple[Views, DataFrame]:
+    """``load_all`` without the faults."""
+    return load_all(spark, landing, store, **options)[:2]

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dropforge.session import exists
 from dropforge.sources.schemas import SOURCES, Source
 
 HISTORY_PREFIX = "z"
 INGESTED_ON = "date_ingestion"
+CURRENT = ".current"
 
 
 @dataclass(frozen=True)
@@ -20,28 +22,53 @@ class Store:
     spark: SparkSession
     namespace: str | None = None
     root: str | None = None
+    _days: dict[str, date | None] = field(default_factory=dict, compare=False, repr=False)
 
     def _location(self, table: str) -> str:
         if self.root:
             return f"{self.root.rstrip('/')}/{table}"
         return f"{self.namespace}.{table}" if self.namespace else table
 
+    def _loaded_on(self, table: str) -> date | None:
+        """The day whose load is the current table; None for a table that was saved by itself."""
+        if table not in self._days:
+            at = self._location(table) + CURRENT
+            self._days[table] = self.spark.read.parquet(at).first()["day"] if exists(self.spark, at) else None
+        return self._days[table]
+
+    def _point_to(self, table: str, day: date | None) -> None:
+        if day != self._loaded_on(table):
+            self.spark.createDataFrame([(day,)], "day date").coalesce(1).write.mode("overwrite").parquet(self._location(table) + CURRENT)
+            self._days[table] = day
+
     def read(self, table: str) -> DataFrame:
         at = self._location(table)
-        return self.spark.read.parquet(at) if self.root else self.spark.table(at)
+        if not self.root:
+            return self.spark.table(at)
+        day = self._loaded_on(table)
+        if day:
+            at = f"{self._location(HISTORY_PREFIX + table)}/{INGESTED_ON}={day.isoformat()}"
+        return self.spark.read.parquet(at)
+
+    def history(self, table: str, *, merge_columns: bool = True) -> DataFrame:
+        """All loads of a table, with the columns of all of them.
 
-    def history(self, table: str, *, merge_columns: bool = False) -> DataFrame:
-        """All loads of a table. ``merge_columns`` is for folders whose loads do not all have the same columns."""
-        if self.root and merge_columns:
-            return self.spark.read.option("mergeSchema", True).parquet(self._location(HISTORY_PREFIX + table))
-        return self.read(HISTORY_PREFIX + table)
+        ``merge_columns=False`` saves reading the footers of folders whose loads are known to have the same columns.
+        """
+        at = self._location(HISTORY_PREFIX + table)
+        return self.spark.read.option("mergeSchema", merge_columns).parquet(at) if self.root else self.spark.table(at)
+
+    def has_history(self, table: str) -> bool:
+        at = self._location(HISTORY_PREFIX + table)
+        return exists(self.spark, at) if self.root else self.spark.catalog.tableExists(at)
 
     def declare(self, source: Source) -> None:
         """Create the table of a source if it is not there yet."""
         empty = self.spark.createDataFrame([], source.schema)
         at = self._location(source.name)
         if self.root:
-            empty.write.mode("ignore").parquet(at)
+            if self._loaded_on(source.name) is None:
+                empty.write.mode("ignore").parquet(at)
         elif not self.spark.catalog.tableExists(at):
             empty.write.format("parquet").saveAsTable(at)
 
@@ -55,24 +82,52 @@ class Store:
         at = self._location(table)
         if self.root:
             df.write.mode("overwrite").parquet(at)
+            self._point_to(table, None)
         else:
+            self._drop_if("VIEW", at)
             df.write.mode("overwrite").format("parquet").saveAsTable(at)
 
+    def _drop_if(self, kind: str, at: str) -> None:
+        if self.spark.catalog.tableExists(at):
+            found = self.spark.catalog.getTable(at).tableType
+            if (found == "VIEW") == (kind == "VIEW"):
+                self.spark.sql(f"DROP {kind} {at}")
+
+    def load(self, df: DataFrame, table: str, day: date) -> None:
+        """Make ``df`` the load of ``day`` and the current table. Its rows are written once, into the history."""
+        self.append_history(df, table, day)
+        if self.root:
+            self._point_to(table, day)
+            return
+        at = self._location(table)
+        self._drop_if("TABLE", at)
+        names = ", ".join(f"`{c}`" for c in df.columns)
+        past = self._location(HISTORY_PREFIX + table)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {at} AS SELECT {names} FROM {past} WHERE {INGESTED_ON} = DATE '{day.isoformat()}'")
+
     def append_history(self, df: DataFrame, table: str, day: date) -> None:
-        """Add a load to the history of ``table``. Loading the same day again replaces that day only."""
+        """Add a load to the history of ``table``. Loading a day again replaces that day, also by an empty load.
+
+        A column that is new is null in earlier loads, one that is gone is null in this one.
+        """
         at = self._location(HISTORY_PREFIX + table)
-        dated = df.withColumn(INGESTED_ON, F.lit(day).cast(T.DateType()))
         if self.root:
-            writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(INGESTED_ON).parquet(at)
+            # The day's own folder: an overwrite by partitions would leave a day that gets no rows.
+            df.write.mode("overwrite").parquet(f"{at}/{INGESTED_ON}={day.isoformat()}")
         elif self.spark.catalog.tableExists(at):
+            known = {f.name.lower(): f for f in self.spark.table(at).schema if f.name != INGESTED_ON}
+            new = [f for f in df.schema if f.name.lower() not in known]
+            if new:
+                self.spark.sql(f"ALTER TABLE {at} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+            own = {c.lower() for c in df.columns}
+            columns = [F.col(f"`{f.name}`") if n in own else F.lit(None).cast(f.dataType).alias(f.name) for n, f in known.items()]
             # Named partition: on catalog tables the dynamic mode is a session setting, not a writer's option.
-            columns = [c for c in self.spark.table(at).columns if c != INGESTED_ON]
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {at} PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}') SELECT * FROM {{load}}",
-                load=df.select(*columns),
+                load=df.select(*columns, *[F.col(f"`{f.name}`") for f in new]),
             )
         else:
+            dated = df.withColumn(INGESTED_ON, F.lit(day).cast(T.DateType()))
             dated.write.format("parquet").partitionBy(INGESTED_ON).saveAsTable(at)
 
     def copy_to(self, target: Store, names: dict[str, str]) -> None:

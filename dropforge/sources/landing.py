@@ -7,16 +7,28 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dropforge.session import exists
 from dropforge.sources.schemas import SOURCES, Source
 
 # Endings of files that are no drops.
 SKIPPED = r"\.(gpg|xlsx)$"
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path and modification time of the files under ``root``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select("path", F.col("modificationTime").alias("modified"))
+def list_files(spark: SparkSession, root: str, folders=()) -> DataFrame:
+    """Path and modification time of the files under ``root``, or under its ``folders`` that are there.
+
+    Contents are not read, and folders that were not asked for are not listed.
+    """
+    root = root.rstrip("/")
+    listed = None
+    for folder in dict.fromkeys(f.strip("/") for f in folders or [""]):
+        at = f"{root}/{folder}" if folder else root
+        if folder and not exists(spark, at):
+            continue
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
+        files = files.select("path", F.col("modificationTime").alias("modified"))
+        listed = files if listed is None else listed.unionByName(files)
+    return spark.createDataFrame([], "path string, modified timestamp") if listed is None else listed
 
 
 def newest_per_source(files: DataFrame, root: str, sources) -> DataFrame:
@@ -53,5 +65,6 @@ def newest_per_source(files: DataFrame, root: str, sources) -> DataFrame:
 
 def select_drops(spark: SparkSession, root: str, sources: dict[str, Source] | None = None) -> dict[str, str]:
     """Path of the newest drop of each source that has one. At most one row per declared source is collected."""
-    chosen = newest_per_source(list_files(spark, root), root, (sources or SOURCES).values())
+    declared = (sources or SOURCES).values()
+    chosen = newest_per_source(list_files(spark, root, [s.folder for s in declared]), root, declared)
     return {row["source"]: row["path"] for row in chosen.collect()}

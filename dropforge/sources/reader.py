@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dropforge.functions.casts import cast_to
+from dropforge.functions.casts import cast_to, fails_cast
 from dropforge.sources.headers import Header, column_names, csv_options, read_header
-from dropforge.sources.schemas import Source
+from dropforge.sources.schemas import MAX_LENGTH, Source
 
 MALFORMED = "_malformed"
 
@@ -23,6 +23,8 @@ def read_text(spark: SparkSession, path: str, source: Source, header: Header | N
     names = column_names(cells)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
     reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", MALFORMED)
+    # The width of a row is judged by the columns that are read, so all of them are.
+    reader = reader.option("columnPruning", False)
     return csv_options(reader, sep, multiline=source.multiline).csv(path)
 
 
@@ -45,12 +47,44 @@ def conform(df: DataFrame, source: Source) -> DataFrame:
 
 
 def read_source(spark: SparkSession, path: str, source: Source, header: Header | None = None) -> DataFrame:
-    return conform(read_text(spark, path, source, header), source)
+    """The conformed rows of a drop that are as wide as its header."""
+    return conform(good_rows(read_text(spark, path, source, header)), source)
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
     """Raw text of the rows of ``read_text`` that were shorter or longer than the header."""
-    # Always true. The width of a row is judged by the columns that are read, so all of them must be.
-    columns = [F.col(f"`{c}`") for c in df.columns if c != MALFORMED]
-    all_read = F.length(F.concat_ws("", *columns)) >= 0
-    return df.where(F.col(MALFORMED).isNotNull() & all_read).select(MALFORMED)
+    # Always true: Spark refuses a query that names the malformed text alone.
+    named = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns if c != MALFORMED])) >= 0
+    return df.where(F.col(MALFORMED).isNotNull() & named).select(MALFORMED)
+
+
+def good_rows(df: DataFrame) -> DataFrame:
+    """The rows of ``read_text`` that are as wide as the header."""
+    return df.where(F.col(MALFORMED).isNull()) if df.columns != [MALFORMED] else df  # an empty file
+
+
+def fault_counts(df: DataFrame, source: Source) -> dict[str, Column]:
+    """Aggregates over ``read_text`` by name: ``rows``, ``malformed``, and by kind and column what a load can't use.
+
+    ``failed_cast`` counts numbers and dates that were not understood, ``unmapped_boolean`` texts outside the token
+    lists, ``cut_text`` texts longer than their declared length; malformed rows are not looked into.
+    """
+    if df.columns == [MALFORMED]:
+        return {"rows": F.sum(F.lit(0)), "malformed": F.sum(F.lit(0))}
+    good = F.col(MALFORMED).isNull()
+    counts = {"rows": F.sum(good.cast("long")), "malformed": F.sum((~good).cast("long"))}
+    present = {c.lower(): c for c in df.columns}
+    for field in source.fields or ():
+        if field.name.lower() not in present:
+            continue
+        c = F.col(f"`{present[field.name.lower()]}`")
+        if isinstance(field.dataType, T.StringType):
+            most = field.metadata.get(MAX_LENGTH)
+            if not most:
+                continue
+            kind, fault = "cut_text", F.coalesce(F.length(c) > most, F.lit(False))
+        else:
+            kind = "unmapped_boolean" if isinstance(field.dataType, T.BooleanType) else "failed_cast"
+            fault = fails_cast(field, c)
+        counts[f"{kind}:{field.name}"] = F.sum((good & fault).cast("long"))
+    return counts

@@ -120,7 +120,7 @@ source(
 )
 
 source(
-    "sa_siicea_decisions", "DECISIONS_SCN", "SIICEA", sep=",",
+    "sa_siicea_decisions", "DECISIONS_SCN", "SIICEA", multiline=True, sep=",",
     fields=_fields(
         """
         type_de_decision complement theme_decision sous_theme_decision nombre_d_ecart commentaire
@@ -139,12 +139,12 @@ source(
     ),
 )
 
-source("sa_siicea_missions_prog", "MISSIONSPREV", "SIICEA", sep=",", fields=_mission_fields())
+source("sa_siicea_missions_prog", "MISSIONSPREV", "SIICEA", multiline=True, sep=",", fields=_mission_fields())
 
-source("sa_siicea_missions_real", "MISSIONSREAL_SCN", "SIICEA", sep=",", fields=_mission_fields())
+source("sa_siicea_missions_real", "MISSIONSREAL_SCN", "SIICEA", multiline=True, sep=",", fields=_mission_fields())
 
 source(
-    "sa_sirec", "sirec", "SIREC", sep=";",
+    "sa_sirec", "sirec", "SIREC", multiline=True, sep=";",
     fields=_fields(
         """
         numero_de_la_reclamation ancien_numero_de_la_reclamation numero_demat_social
@@ -177,7 +177,7 @@ source(
 )
 
 source(
-    "sa_sivss", "SIVSS_SCN", "SIVSS", sep="¤",
+    "sa_sivss", "SIVSS_SCN", "SIVSS", multiline=True, sep="¤",
     fields=_fields(
         """
         structure_intitule numero_sivss date_reception famille_principale nature_principale

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +25,7 @@ from dropforge.quality.expectations import (
     violation_counts,
 )
 from dropforge.session import scratch
-from dropforge.sinks.load import run
+from dropforge.sinks.load import load_all, run
 from dropforge.sinks.publish import copy_views, export_csv, export_views, row_counts
 from dropforge.sinks.store import Store
 from dropforge.sources.headers import first_line, guess_delimiter
@@ -508,23 +511,105 @@ def kept_geography(spark, sf_dir):
     return views.view("staging__ref_geo")
 
 
-@check("""SELECT date_ingestion, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys FROM (
-  SELECT DATE '2025-08-14' AS date_ingestion, c_custkey FROM customer
-  UNION ALL SELECT DATE '2025-08-15', c_custkey FROM customer WHERE c_nationkey < 12) GROUP BY 1""")
-def history_append(spark, sf_dir):
-    """Two days of loads; the second day is loaded twice, and the later load of it stands."""
-    store = Store(spark, root=scratch(spark, "history"))
-    customers = table(spark, sf_dir, "customer")
+_FAULTY = Source(
+    "clients", "clients", "IN", sep=";", multiline=True,
+    fields=(
+        T.StructField("numero", T.LongType()), T.StructField("libelle", T.StringType(), True, {"max_length": 12}),
+        T.StructField("pays", T.IntegerType()), T.StructField("actif", T.BooleanType()),
+    ),
+)
+
+
+def _faulty_drop(spark, sf_dir, landing):
+    """Customers as raw lines: short and long rows, quoted newlines, bad numbers, unknown booleans, long texts."""
+    number = "CAST(c_custkey AS STRING)"
+    line = f"""CASE c_custkey % 10 WHEN 0 THEN {number} || ';short' WHEN 1 THEN {number} || ';a;3;yes;more'
+      WHEN 2 THEN {number} || ';"two' || CHR(10) || 'lines";3;yes' WHEN 3 THEN {number} || ';a;7d;yes'
+      WHEN 4 THEN {number} || ';a;3;perhaps' WHEN 5 THEN {number} || ';' || c_name || ';3;no' ELSE {number} || ';"b;c";4;no' END"""
+    lines = table(spark, sf_dir, "customer").selectExpr("1 AS place", f"{line} AS value")
+    header = spark.createDataFrame([(0, "numero;libelle;pays;actif")], lines.schema)
+    # One file with one header, as such drops come.
+    header.unionByName(lines).coalesce(1).sortWithinPartitions("place").select("value").write.text(f"{landing}/IN/clients.csv")
+
+
+@check("""WITH c AS (SELECT c_custkey AS k, c_custkey % 10 AS m FROM customer)
+SELECT * FROM (SELECT 'rows' AS fault, '' AS column_name, COUNT(*) AS found FROM c WHERE m > 1
+  UNION ALL SELECT 'sum of keys', 'numero', CAST(SUM(k) AS BIGINT) FROM c WHERE m > 1
+  UNION ALL SELECT 'newlines', 'libelle', COUNT(*) FROM c WHERE m = 2
+  UNION ALL SELECT 'malformed', '', COUNT(*) FROM c WHERE m < 2
+  UNION ALL SELECT 'rejected', '', COUNT(*) FROM c WHERE m < 2
+  UNION ALL SELECT 'failed_cast', 'pays', COUNT(*) FROM c WHERE m = 3
+  UNION ALL SELECT 'unmapped_boolean', 'actif', COUNT(*) FROM c WHERE m = 4
+  UNION ALL SELECT 'cut_text', 'libelle', COUNT(*) FROM c WHERE m = 5) WHERE found > 0""")
+def load_with_faults(spark, sf_dir):
+    """A drop with faults of every kind: what was loaded, what was rejected, and the report of the load."""
+    landing, store = scratch(spark, "landing"), Store(spark, root=scratch(spark, "store"))
+    _faulty_drop(spark, sf_dir, landing)
+    _, counts, faults = load_all(spark, landing, store, today=date(2025, 8, 15), sources={"clients": _FAULTY})
+    one = lambda fault, column, found: found.select(F.lit(fault).alias("fault"), F.lit(column).alias("column_name"), "found")
+    loaded = store.read("clients")
+    parts = [
+        one("rows", "", counts.select(F.col("row_count").alias("found"))),
+        one("sum of keys", "numero", loaded.agg(F.sum("numero").alias("found"))),
+        one("newlines", "libelle", loaded.agg(F.sum(F.col("libelle").contains("\n").cast("long")).alias("found"))),
+        one("rejected", "", store.history("clients_rejected").agg(F.count("row").alias("found"))),
+        faults.select("fault", "column_name", "found"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@check(with_sources("v_region", "SELECT DISTINCT reg, ncc, libelle FROM v_region"))
+def load_run_partial(spark, sf_dir):
+    """A load in which one drop of two is missing: its table is there, empty, and the regions come from the other."""
+    landing, home = scratch(spark, "landing"), scratch(spark, "store")
+    source = SOURCES["v_region"]
+    stand_in(spark, sf_dir, "v_region").write.option("header", True).option("sep", ";").csv(
+        f"{landing}/{source.folder}/{source.keyword}_20250815.csv"
+    )
+    sources = {n: SOURCES[n] for n in ("v_region", "v_comer")}
+    views, _ = run(spark, landing, Store(spark, root=home), today=date(2025, 8, 15), sources=sources)
+    return views.view("staging__ref_regions")
+
+
+_HISTORY = """SELECT date_ingestion, COUNT(*) AS n, CAST(SUM(k) AS BIGINT) AS keys, COUNT(c_name) AS names,
+  COUNT(segment) AS segments FROM (
+  SELECT DATE '2025-08-14' AS date_ingestion, c_custkey AS k, c_name, NULL AS segment FROM customer
+  UNION ALL SELECT DATE '2025-08-15', c_custkey, c_name, NULL FROM customer WHERE c_nationkey < 12
+  UNION ALL SELECT DATE '2025-08-17', c_custkey, NULL, c_mktsegment FROM customer WHERE c_nationkey < 5) GROUP BY 1"""
+
+
+def _history(spark, sf_dir, store):
+    """The second day is loaded twice, the third is emptied by a reload, the fourth has another set of columns."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     store.append_history(customers, "customer", date(2025, 8, 14))
     store.append_history(customers, "customer", date(2025, 8, 15))
     store.append_history(customers.where("c_nationkey < 12"), "customer", date(2025, 8, 15))
+    store.append_history(customers, "customer", date(2025, 8, 16))
+    store.append_history(customers.where("false"), "customer", date(2025, 8, 16))
+    changed = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
+    store.append_history(changed.where("c_nationkey < 5"), "customer", date(2025, 8, 17))
     return (
         store.history("customer")
         .groupBy("date_ingestion")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.count("c_name").alias("names"),
+            F.count("segment").alias("segments"),
+        )
     )
 
 
+@check(_HISTORY)
+def history_append(spark, sf_dir):
+    return _history(spark, sf_dir, Store(spark, root=scratch(spark, "history")))
+
+
+@check(_HISTORY)
+def history_in_catalog(spark, sf_dir):
+    name = f"history_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(spark, name)}'")
+    return _history(spark, sf_dir, Store(spark, namespace=name))
+
+
 @check(" UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES), "row_counts")
 def _row_counts(spark, sf_dir):
     return row_counts({t: table(spark, sf_dir, t) for t in TABLES})

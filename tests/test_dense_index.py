@@ -1,3 +1,5 @@
+import pytest
+
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -45,3 +47,9 @@ def test_only_the_bounded_bucket_table_is_in_one_partition(spark, tmp_path):
     final = plan[: plan.index("Initial Plan")]
     assert final.count("Exchange SinglePartition") == 1
     assert "ReusedExchange" in final  # the counted rows are shuffled once
+
+
+def test_digits_are_bounded(spark):
+    for digits in (0, 6):
+        with pytest.raises(ValueError, match="digits"):
+            dense_index(spark.range(3), digits=digits)

@@ -79,3 +79,12 @@ def test_root_with_a_scheme_or_its_name_further_down(spark, tmp_path):
     ).selectExpr("path", "to_timestamp(modified) AS modified")
     newest = newest_per_source(files, "s3a://b/z", [SOURCES["v_region"]])
     assert [r["path"] for r in newest.collect()] == ["s3a://b/z/INSEE/v_region.csv"]
+
+
+def test_only_declared_folders_are_listed(spark, tmp_path):
+    for folder in ("INSEE", "FOREIGN"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "v_region.csv").write_text("a\n")
+    listed = [r["path"] for r in list_files(spark, str(tmp_path), ["INSEE", "ABSENT"]).collect()]
+    assert [p.rsplit("/", 2)[1] for p in listed] == ["INSEE"]
+    assert list_files(spark, str(tmp_path), ["ABSENT"]).collect() == []

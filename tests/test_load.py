@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import types as T
 
 from dropforge.plans import VIEWS
-from dropforge.sinks.load import run
+from dropforge.quality.expectations import Expectation
+from dropforge.sinks.load import load_all, run
 from dropforge.sinks.store import Store
 from dropforge.sources.schemas import SOURCES
 
@@ -74,3 +75,34 @@ def test_run_stops_on_no_drop_wrong_header_or_no_rows(spark, tmp_path):
     drop.write_text("reg,cheflieu,tncc,ncc,nccenr,libelle\n")
     with pytest.raises(RuntimeError, match="nothing was loaded"):
         run(spark, str(tmp_path / "landing"), store, sources=one)
+
+
+def test_a_wrong_header_can_be_skipped_and_reported(spark, landing, tmp_path):
+    (landing / SOURCES["v_comer"].folder / f"{SOURCES['v_comer'].keyword}_20250815.csv").write_text("other\n1\n")
+    two = {n: SOURCES[n] for n in ("v_region", "v_comer")}
+    store = Store(spark, root=str(tmp_path / "store"))
+    suites = {"v_region": [Expectation("bool", "cheflieu")]}
+    views, counts, faults = load_all(spark, str(landing), store, today="2025-08-15", sources=two, on_invalid="skip", suites=suites)
+    assert counts.collect() == [("v_region", 3)]
+    found = {(r.table_name, r.fault) for r in faults.collect()}
+    assert found == {("v_comer", "header"), ("v_region", "expectation:bool")}
+    assert views.view("staging__ref_regions").count() == 3 and store.read("v_comer").isEmpty()
+
+
+def test_bad_rows_are_rejected_and_a_clean_reload_clears_them(spark, tmp_path):
+    folder = tmp_path / "landing" / "INSEE"
+    folder.mkdir(parents=True)
+    drop, one = folder / "v_region.csv", {"v_region": SOURCES["v_region"]}
+    head = "reg,cheflieu,tncc,ncc,nccenr,libelle\n"
+    drop.write_text(head + "84,Lyon,x,N,n,l\n85\n86,a,1,b,c,d,e\n")
+    store = Store(spark, root=str(tmp_path / "store"))
+    _, counts, faults = load_all(spark, str(tmp_path / "landing"), store, today="2025-08-15", sources=one)
+    assert counts.collect() == [("v_region", 1)]
+    assert sorted(map(tuple, faults.collect())) == [("v_region", "failed_cast", "tncc", 1), ("v_region", "malformed", "", 2)]
+    assert sorted(r["row"] for r in store.history("v_region_rejected").collect()) == ["85", "86,a,1,b,c,d,e"]
+    with pytest.raises(RuntimeError, match="too many malformed rows: v_region"):
+        load_all(spark, str(tmp_path / "landing"), store, today="2025-08-15", sources=one, most_malformed=0.5)
+    drop.write_text(head + "84,Lyon,1,N,n,l\n")
+    load_all(spark, str(tmp_path / "landing"), store, today="2025-08-15", sources=one)
+    assert store.history("v_region_rejected").isEmpty() and store.read("v_region").count() == 1
+    assert Store(spark, root=str(tmp_path / "store")).read("v_region").count() == 1

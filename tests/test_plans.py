@@ -58,7 +58,10 @@ def test_views_without_joins_do_not_shuffle(views):
 
 def test_hot_keys_give_the_same_rows_when_partitions_are_split(views, spark):
     """A third of all facilities share a commune; a quarter of all missions share a blank facility code."""
-    names = ("staging__cert_dc_finess", "staging__matrice_siicea_cibles", "staging__dgcs_query")
+    names = (
+        "staging__cert_dc_finess", "staging__matrice_siicea_cibles", "staging__dgcs_query", "staging__ref_geo",
+        "staging__ref_communes",
+    )
     want = {n: sorted(map(str, views.view(n).collect())) for n in names}
     forced = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -89,3 +92,8 @@ def test_geography_is_looked_up_by_broadcast_when_it_is_small(views):
     df = views.view("staging__ref_geo")
     df.collect()
     assert "SortMergeJoin" not in plan(df).split("Initial Plan")[0]
+
+
+def test_profiles_do_not_expand_their_input(views):
+    for name in ("staging__siicea_input_test", "staging__sirec_input_test", "staging__helios_siicea_missions_test"):
+        assert "Expand" not in plan(views.view(name))

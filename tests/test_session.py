@@ -1,10 +1,11 @@
-from dropforge.session import MB, MOST_PARTITIONS, shuffle_partitions, split_bytes
+from dropforge.session import MB, shuffle_partitions, split_bytes
 
 
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 1024**3, 8) == 20
-    assert shuffle_partitions(100 * 1024**4) == MOST_PARTITIONS
+    assert shuffle_partitions(100 * 1024**4) == 204_800
+    assert shuffle_partitions(100 * 1024**4, most=40_000) == 40_000
 
 
 def test_scan_splits_follow_the_data():

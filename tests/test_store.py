@@ -49,10 +49,30 @@ def test_history_of_changing_columns(spark, tmp_path):
     store = Store(spark, root=str(tmp_path))
     store.append_history(frame(spark, (1, "a")), "t", date(2025, 1, 1))
     store.append_history(spark.createDataFrame([(2, "x")], "k int, w string"), "t", date(2025, 1, 2))
-    rows = store.history("t", merge_columns=True).select("k", "v", "w").orderBy("k").collect()
+    rows = store.history("t").select("k", "v", "w").orderBy("k").collect()
     assert rows == [(1, "a", None), (2, None, "x")]
 
 
+def test_history_has_one_meaning(spark, store):
+    store.append_history(frame(spark, (1, "a")), "h", date(2025, 1, 1))
+    store.append_history(frame(spark, (2, "b")), "h", date(2025, 1, 2))
+    store.append_history(frame(spark).limit(0), "h", date(2025, 1, 2))
+    store.append_history(spark.createDataFrame([(3, "x")], "k int, w string"), "h", date(2025, 1, 3))
+    rows = store.history("h").select("k", "v", "w", "date_ingestion").orderBy("k").collect()
+    assert rows == [(1, "a", None, date(2025, 1, 1)), (3, None, "x", date(2025, 1, 3))]
+
+
+def test_load_saved_and_loaded_again(spark, store):
+    store.load(frame(spark, (1, "a")), "t", date(2025, 1, 1))
+    store.load(frame(spark, (2, "b")), "t", date(2025, 1, 2))
+    assert store.read("t").collect() == [(2, "b")] and store.history("t").count() == 2
+    store.save(frame(spark, (3, "c")), "t")
+    assert store.read("t").collect() == [(3, "c")]
+    store.load(frame(spark, (4, "d")), "t", date(2025, 1, 2))
+    assert store.read("t").collect() == [(4, "d")] and store.history("t").count() == 2
+    assert store.has_history("t") and not store.has_history("other")
+
+
 def test_history_prunes_partitions(spark, store):
     store.append_history(frame(spark, (1, "a")), "t", date(2025, 1, 1))
     plan = store.history("t").where("date_ingestion = DATE '2025-01-01'")._jdf.queryExecution().executedPlan().toString()
