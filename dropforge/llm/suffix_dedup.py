@@ -39,6 +39,7 @@ LENGTH = 50
 GRAM = 24
 TRIGGER_BITS, CONTENT_BITS = 56, 40  # a phrase is told by both
 BLOCK_ROWS = 1250
+_AGAIN = 0x5851F42D4C957F2D
 
 
 def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -112,7 +113,9 @@ class Parse:
             first, last, at, text, gram = cut(raw, offsets)
             content = (hash_spans(raw, first, last + LENGTH) ^ mixed((at - first).astype(np.uint64))) >> np.uint64(64 - CONTENT_BITS)
             self.parts.append((raw, offsets, done, len(first)))
-            for c, v in zip(columns, (gram >> np.uint64(64 - TRIGGER_BITS), content, ids[done + text], first, last, np.full(len(first), len(self.parts) - 1)), strict=True):
+            # Triggers have small hashes, being the smallest of many: mixed once more they fill the key ranges evenly.
+            key = mixed(gram ^ np.uint64(_AGAIN)) >> np.uint64(64 - TRIGGER_BITS)
+            for c, v in zip(columns, (key, content, ids[done + text], first, last, np.full(len(first), len(self.parts) - 1)), strict=True):
                 c.append(v)
             starts.append(len(first))
             done += part.num_rows
