@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -67,7 +69,9 @@ def scratch(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        _local_root = _local_root or tempfile.mkdtemp(prefix="dropforge-")
+        if _local_root is None:
+            _local_root = tempfile.mkdtemp(prefix="dropforge-")
+            atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
         root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

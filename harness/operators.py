@@ -457,11 +457,12 @@ def latest_drop(spark, sf_dir):
 
 
 @check(f"""SELECT COALESCE(number_text, '') AS n_du_client, SUBSTR(label, 1, 12) AS libelle_de_l_etablissement, nation AS code_pays,
-  active AS est_actif FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS number_text,
+  active AS est_actif, c_mktsegment AS code_pays_1, c_mktsegment || '!' AS nombre_de_personnes_accompagnees_presentant_une_deficience_inte
+  FROM (SELECT c_mktsegment, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS number_text,
     c_name || ' "é;¤,"' AS label, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_nationkey END AS nation,
     c_custkey % 3 = 0 AS active FROM customer)""")
 def csv_roundtrip(spark, sf_dir):
-    """Customers written with accented headers and quoted delimiters, and read back as a declared source."""
+    """Customers written with accented, repeated and over-long headers and quoted delimiters, and read back as declared."""
     path = scratch(spark, "roundtrip")
     table(spark, sf_dir, "customer").select(
         F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey").cast("string")).alias("N° du Client"),
@@ -469,6 +470,8 @@ def csv_roundtrip(spark, sf_dir):
         F.when(F.col("c_custkey") % 5 != 0, F.concat(F.col("c_nationkey").cast("string"), F.lit(".0"))).alias("Code (pays)"),
         F.when(F.col("c_custkey") % 3 == 0, "true").otherwise("no").alias("Est actif ?"),
         F.lit("left out").alias("Not declared"),
+        F.col("c_mktsegment").alias("Code [pays]"),
+        F.concat("c_mktsegment", F.lit("!")).alias("Nombre de personnes accompagnées présentant une déficience intellectuelle légère"),
     ).write.option("header", True).option("sep", "¤").option("escape", '"').csv(path)
     declared = Source(
         "clients", "clients", sep="¤",
@@ -477,6 +480,8 @@ def csv_roundtrip(spark, sf_dir):
             T.StructField("libelle_de_l_etablissement", T.StringType(), True, {"max_length": 12}),
             T.StructField("code_pays", T.IntegerType()),
             T.StructField("est_actif", T.BooleanType()),
+            T.StructField("code_pays_1", T.StringType()),
+            T.StructField("nombre_de_personnes_accompagnees_presentant_une_deficience_inte", T.StringType()),
         ),
     )
     return read_source(spark, path, declared)
