@@ -25,15 +25,21 @@ from dropforge.session import scratch
 
 BLOCK_ROWS = 2500
 BLOCK_BYTES = 6 << 20
+MANY = 20_000
+LARGEST = 40
 
 
 def blocked(docs: DataFrame, label: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
     """``docs`` with a ``block`` number, bucketed by it, and the number of key ranges to use.
 
-    A block is some thousand neighbouring rows of one scan task; the write moves no row to another task.
+    A block is some thousand neighbouring rows of one scan task; the write moves no row to another task. Every block
+    writes a row for every range, so beyond ``MANY`` blocks (about 120 GB) both grow with the input instead, up to
+    ``LARGEST`` times, which takes executors of a few GB per core.
     """
     spark = docs.sparkSession
-    ranges = max(blocks_for(docs, BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    times = min(LARGEST, max(1, blocks_for(docs, BLOCK_BYTES) // MANY))
+    block_rows *= times
+    ranges = max(blocks_for(docs, times * BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     row = F.monotonically_increasing_id()
     numbered = docs.withColumn("block", F.shiftright(row, 33) * F.lit(1 << 20) + F.floor(row.bitwiseAND((1 << 33) - 1) / block_rows))
     name = f"{label}_{uuid.uuid4().hex}"
