@@ -257,12 +257,12 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), F.col("rep").alias("doc"), "d0", "d1").join(ids, "id")
     bands = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), "bands")
     texts = written(_texts_of(inside, nodes).join(bands, "id"), "minhash-texts")
-    links, used = None, None
+    links, used, parts = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         state = members
         if links is not None:
-            parts = components(links).select("id", F.col("component").alias("c"))
-            state = written(members.drop("part").join(parts, "id", "left").withColumn("part", F.coalesce("c", "id")).drop("c"), "minhash-state")
+            parts = parts if parts is not None else components(links)
+            state = written(members.drop("part").join(parts.withColumnRenamed("component", "c"), "id", "left").withColumn("part", F.coalesce("c", "id")).drop("c"), "minhash-state")
         apart = state.groupBy("band", "hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band", "hash")
         state = written(state.join(apart, ["band", "hash"]), "minhash-apart")
         if state.isEmpty():
@@ -277,11 +277,15 @@ def classes(docs: DataFrame) -> DataFrame:
             now = centres.select("band", "hash", F.col("centre").alias("id"))
             used = written(now if used is None else used.unionByName(now), "minhash-centres")
             found = _verified(written(pairs.distinct(), "minhash-pairs"), texts, weights, "minhash-links")
-        links = found.select("a", "b") if links is None else written(links.unionByName(found.select("a", "b")), "minhash-links")
+        if links is None:
+            links = found.select("a", "b")
+        elif not found.isEmpty():
+            links, parts = written(links.unionByName(found.select("a", "b")), "minhash-links"), None
     out = signed.select("id", "d0", "d1", "n_words")
     own = representatives.select("d0", "d1", "rep", F.xxhash64("rep", "d0", "d1").alias("node"))
     if links is not None:
-        joined = components(links).join(own.select(F.col("node").alias("id"), "rep"), "id")
+        parts = parts if parts is not None else components(links)
+        joined = parts.join(own.select(F.col("node").alias("id"), "rep"), "id")
         smallest = joined.groupBy("component").agg(F.min("rep").alias("least"))
         named = joined.join(smallest, "component").select(F.col("id").alias("node"), "least")
         own = own.join(named, "node", "left").withColumn("rep", F.coalesce("least", "rep")).drop("least")
