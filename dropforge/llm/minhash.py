@@ -7,8 +7,8 @@ copies shares can't be outweighed by one changed sentence.
 
 ``BANDS`` x ``ROWS`` consistent weighted samples of each text make its bands. Per sample and shingle the random numbers
 (two gamma, one uniform) are read from a fixed table at a hashed place; the sample is the shingle of the smallest value
-with its quantised weight. Texts of equal words are one class first, represented by the smallest doc_id; representatives
-that share a band are candidates. A band's group is not turned into all its pairs: it is compared with its most connected
+with its quantised weight. Texts of equal words are one class first, represented by the row of the smallest doc_id;
+representatives that share a band are candidates. A band's group is not turned into all its pairs: it is compared with its most connected
 member, and what is not linked by that, with the next one, for ``STAR_ROUNDS`` rounds. Texts of groups that still hold
 several parts are gathered into regions, and there everything outside the region's main part is compared with everything
 it shares a band with, block against block of ``BLOCK`` texts, each pair of blocks in a task of its own that gives back
@@ -16,7 +16,8 @@ only the links it finds. Every link is verified by the exact weighted Jaccard si
 ``SIMILARITY``. Classes are the connected components.
 
 * A text of fewer than five words is one shingle of all its words; one without words (null, empty) is alone in its class.
-* A null id comes after all others; its class is that of its text. Rows with equal id and words are one document.
+* A null id comes after all others; its class is that of its text. Every row is a document of its own, also of a null or
+  repeated id: exactly one row of each class is kept, one of those with the class's smallest id.
 * Without documents the result is empty; other columns are passed through and never looked at.
 """
 
@@ -26,8 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from dropforge.llm.components import components
 from dropforge.llm.tables import LAST_ID, ordered_id, table, written
@@ -135,23 +138,26 @@ def band_hashes(made: np.ndarray, counts: np.ndarray, starts: np.ndarray, weight
 
 
 def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``id, d0, d1, n_words, bands`` of every document."""
+    """``id, node, row, d0, d1, n_words, bands`` of every document: a number of its own, and the document beside it."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
+    named = docs.select(ordered_id().alias("id"), F.monotonically_increasing_id().alias("node"), F.struct(*docs.columns).alias("row"))
+    schema = StructType([*named.schema, *[StructField(c, LongType()) for c in ("d0", "d1", "n_words")], StructField("bands", ArrayType(LongType()))])
 
     def sign(batches):
         tables = _random_table()
         for batch in batches:
+            batch = batch.append_column("text", pc.struct_field(batch.column(2), "text"))
             for part in text_slices(batch):
-                made, counts, starts, digests, n_words = weighted_shingles(part.column(1))
+                made, counts, starts, digests, n_words = weighted_shingles(part.column(3))
                 bands = band_hashes(made, counts, starts, sent.value, tables)
                 offsets = np.concatenate([[0], np.cumsum((n_words > 0) * BANDS)]).astype(np.int32)
                 signed = digests.view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1]), pa.array(n_words.astype(np.int64)),
+                    *part.columns[:3], pa.array(signed[:, 0]), pa.array(signed[:, 1]), pa.array(n_words.astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel().view(np.int64))),
-                ], ["id", "d0", "d1", "n_words", "bands"])
+                ], schema.names)
 
-    return docs.select(ordered_id().alias("id"), "text").mapInArrow(sign, "id long, d0 long, d1 long, n_words long, bands array<long>")
+    return named.mapInArrow(sign, schema)
 
 
 def similarities(pairs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -239,24 +245,23 @@ def _across_parts(state: DataFrame, texts: DataFrame, weights: np.ndarray) -> Da
     return left.unionByName(right).join(texts, "id").groupBy("region", "l", "r").applyInArrow(compare, "a long, b long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``id, d0, d1, n_words, class_id`` for every document; ``id`` is the doc_id, the largest number for a null one."""
+def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every document as a written ``row`` with its ``node``; ``node, id, d0, d1, n_words, class_id, kept`` of each.
+
+    ``id`` is the doc_id, the largest number for a null one; ``node`` tells all rows apart, whatever their ids.
+    """
     weights = feature_weights(*document_frequencies(docs))
     signed = written(signatures(docs, weights), "minhash-signatures")
-    same = signed.where("n_words > 0").groupBy("d0", "d1").agg(F.min(F.struct("id", "bands")).alias("s"), F.count(F.lit(1)).alias("copies"))
-    representatives = written(same.select("d0", "d1", F.col("s.id").alias("rep"), F.col("s.bands").alias("bands")), "minhash-classes")
-    # Two texts under one id would be one node of the links; the later ones get links of their own by their digest.
-    members = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), F.posexplode("bands").alias("band", "hash"))
+    same = signed.where("n_words > 0").groupBy("d0", "d1").agg(F.min(F.struct("id", "node", "bands")).alias("s"))
+    representatives = written(same.select("d0", "d1", "s.node", F.col("s.id").alias("rep"), "s.bands"), "minhash-classes")
+    members = representatives.select(F.col("node").alias("id"), F.posexplode("bands").alias("band", "hash"))
     groups = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(members.join(groups, ["band", "hash"]), "minhash-bands")
     popularity = members.groupBy("id").agg(F.sum("n").alias("popular"))
     members = written(members.join(popularity, "id").select("band", "hash", "id", "popular").withColumn("part", F.col("id")), "minhash-members")
 
-    inside = docs.select(ordered_id().alias("doc"), "text")
-    ids = members.select("id").distinct()
-    nodes = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), F.col("rep").alias("doc"), "d0", "d1").join(ids, "id")
-    bands = representatives.select(F.xxhash64("rep", "d0", "d1").alias("id"), "bands")
-    texts = written(_texts_of(inside, nodes).join(bands, "id"), "minhash-texts")
+    inside = signed.select(F.col("node").alias("id"), F.col("row.text").alias("text"), "bands")
+    texts = written(inside.join(members.select("id").distinct(), "id"), "minhash-texts")
     links, used, parts = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         state = members
@@ -281,56 +286,31 @@ def classes(docs: DataFrame) -> DataFrame:
             links = found.select("a", "b")
         elif not found.isEmpty():
             links, parts = written(links.unionByName(found.select("a", "b")), "minhash-links"), None
-    out = signed.select("id", "d0", "d1", "n_words")
-    own = representatives.select("d0", "d1", "rep", F.xxhash64("rep", "d0", "d1").alias("node"))
+    own = representatives.select("d0", "d1", "node", F.struct("rep", "node").alias("first"))
     if links is not None:
         parts = parts if parts is not None else components(links)
-        joined = parts.join(own.select(F.col("node").alias("id"), "rep"), "id")
-        smallest = joined.groupBy("component").agg(F.min("rep").alias("least"))
-        named = joined.join(smallest, "component").select(F.col("id").alias("node"), "least")
-        own = own.join(named, "node", "left").withColumn("rep", F.coalesce("least", "rep")).drop("least")
-    out = out.join(own.select(F.col("d0").alias("e0"), F.col("d1").alias("e1"), "rep"), (F.col("d0") == F.col("e0")) & (F.col("d1") == F.col("e1")) & (F.col("n_words") > 0), "left")
-    return out.select("id", "d0", "d1", "n_words", F.coalesce("rep", "id").alias("class_id"))
-
+        joined = parts.withColumnRenamed("id", "node").join(own.select("node", "first"), "node")
+        smallest = joined.groupBy("component").agg(F.min("first").alias("least"))
+        named = joined.join(smallest, "component").select("node", "least")
+        own = own.join(named, "node", "left").withColumn("first", F.coalesce("least", "first")).drop("least")
+    own = own.select(F.col("d0").alias("e0"), F.col("d1").alias("e1"), "first")
+    out = signed.select("node", "id", "d0", "d1", "n_words").join(own, (F.col("d0") == F.col("e0")) & (F.col("d1") == F.col("e1")) & (F.col("n_words") > 0), "left")
+    first = F.coalesce("first", F.struct(F.col("id").alias("rep"), "node"))
+    return signed.select("node", "row"), out.select("node", "id", "d0", "d1", "n_words", first["rep"].alias("class_id"), (first["node"] == F.col("node")).alias("kept"))
 
-def _texts_of(inside: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``id, text`` of every node: the text with its digest among those of its doc_id."""
-    met = inside.join(nodes, "doc").select("id", "d0", "d1", "text")
-
-    def check(batches):
-        for batch in batches:
-            for part in text_slices(batch):
-                digests = weighted_shingles(part.column(3))[3].view(np.int64)
-                right = (digests[:, 0] == part.column(1).to_numpy()) & (digests[:, 1] == part.column(2).to_numpy())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], ["id", "text"]).filter(pa.array(right))
 
-    return met.mapInArrow(check, "id long, text string").dropDuplicates(["id"])
+def classes(docs: DataFrame) -> DataFrame:
+    """``id, d0, d1, n_words, class_id, kept`` for every document; ``id`` is the doc_id, the largest number for a null one."""
+    return classified(docs)[1].drop("node")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those that are not the first of their class; all columns kept."""
-    gone = classes(docs).where("id <> class_id").select("id", "d0", "d1").distinct()
-    marked = docs.withColumn("_id", ordered_id())
-    ids = gone.select(F.col("id").alias("_id"), F.struct("d0", "d1").alias("_d")).groupBy("_id").agg(F.collect_set("_d").alias("_gone"))
-    joined = marked.join(ids, "_id", "left").drop("_id")
-
-    def leave(batches):
-        for batch in batches:
-            for part in text_slices(batch):
-                names = part.schema.names
-                keep = np.ones(part.num_rows, bool)
-                listed = part.column(names.index("_gone"))
-                some = np.flatnonzero(listed.is_valid().to_numpy(zero_copy_only=False))
-                if len(some):
-                    digests = weighted_shingles(part.column(names.index("text")))[3].view(np.int64)
-                    for i in some:
-                        keep[i] = (int(digests[i, 0]), int(digests[i, 1])) not in {(x["d0"], x["d1"]) for x in listed[int(i)].as_py()}
-                yield part.select([n for n in names if n != "_gone"]).filter(pa.array(keep))
-
-    return joined.mapInArrow(leave, docs.schema)
+    """The documents without those that are not the one kept of their class; all columns kept."""
+    rows, found = classified(docs)
+    return rows.join(found.where("NOT kept").select("node"), "node", "left_anti").select("row.*")
 
 
 def op4_minhash(spark, sf_dir) -> DataFrame:
     found = classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     shown = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return found.select(shown("id").alias("doc_id"), shown("class_id").alias("class_id"), "n_words", (F.col("id") == F.col("class_id")).alias("kept"))
+    return found.select(shown("id").alias("doc_id"), shown("class_id").alias("class_id"), "n_words", "kept")

@@ -67,6 +67,23 @@ def test_classes_equal_brute_force(spark, monkeypatch, stars, block):
     assert sorted((2**63 - 1 if r.doc_id is None else r.doc_id) for r in kept.collect()) == sorted(want.elements())
 
 
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    words = [f"w{i}" for i in range(200)]
+    near = lambda k: " ".join([*words[:k], "changed", *words[k + 1 :]])
+    alone = [f"quite other words stand in this text number {i} here" for i in "abc"]
+    groups = [[(None, near(k)) for k in (3, 3, 90)], [(None, alone[0])] * 3, [(7, alone[1])] * 3, [(7, alone[2])], [(None, "")], [(None, None)], [(7, " ")]]
+    numbered = [(g, i, t) for g, rows in enumerate(groups) for i, t in rows]
+    docs = spark.createDataFrame([(i, t, g, n) for n, (g, i, t) in enumerate(numbered)], "doc_id long, text string, class_id int, node int").repartition(3)
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    kept = kept.collect()
+    assert sorted(r["class_id"] for r in kept) == list(range(len(groups)))
+    assert all(numbered[r["node"]] == (r["class_id"], r["doc_id"], r["text"]) for r in kept)
+    found = minhash.classes(docs)
+    assert found.count() == len(numbered) and found.where("kept").count() == len(groups)
+    assert all(r.class_id == r.id for r in found.collect())
+
+
 def test_empty(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.classes(d).collect() == [] and minhash.keep_one(d).collect() == []
