@@ -14,7 +14,9 @@ pairs. A pair is counted in the first table it meets in.
 
 * Null, empty, zero vectors and vectors that hold a null or non-finite number link with nothing: 0 links, alone, kept.
 * Vectors of different dimensions never link. Equal vectors link with each other.
-* A null id comes after all others (shown as null; its component may be another's). Rows with one id are one node.
+* A null id comes after all others (shown as null; its component may be another's). Ids tell no vectors apart and join
+  none: different vectors of one id are different nodes, and a component is named by its smallest id at the end.
+* Exactly one row of each component is kept, one of those with the smallest id.
 * Without vectors the result is empty; other columns are not looked at.
 """
 
@@ -120,17 +122,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     vectors = unit(rows["key"])
     linked = links_between(vectors[x_at], vectors[y_at])
-    ids, copies = np.array(rows["id"]), np.array(rows["copies"])
+    nodes, copies = np.array(rows["node"]), np.array(rows["copies"])
     if one:
         linked |= linked.T
         np.fill_diagonal(linked, False)
     a, b = np.nonzero(linked)
-    cells = np.array([np.frombuffer(c, np.int64)[: rows["turn"][0]] for c in rows["cells"]]).reshape(len(ids), -1)
+    cells = np.array([np.frombuffer(c, np.int64)[: rows["turn"][0]] for c in rows["cells"]]).reshape(len(nodes), -1)
     new = np.zeros(len(a), bool)
     for k in range(0, len(a), 1 << 16):
         part = slice(k, k + (1 << 16))
         new[part] = ~(cells[x_at[a[part]]] == cells[y_at[b[part]]]).any(1)
-    counts = np.zeros(len(ids), np.int64)
+    counts = np.zeros(len(nodes), np.int64)
     np.add.at(counts, x_at[a[new]], copies[y_at[b[new]]])
     if not one:
         np.add.at(counts, y_at[b[new]], copies[x_at[a[new]]])
@@ -143,20 +145,22 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     touched = sorted(edges)
     if touched:
         yield pa.RecordBatch.from_arrays([
-            pa.array(ids[touched]), pa.array(ids[[edges[i] for i in touched]]), pa.array(counts[touched]),
+            pa.array(nodes[touched]), pa.array(nodes[[edges[i] for i in touched]]), pa.array(counts[touched]),
         ], ["a", "b", "links"])
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id, n_links, component``, one row per row; ``id`` is the largest number for a null one."""
+def marked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``id, n_links, component, kept``, one row per row; ``id`` is the largest number for a null one."""
 
     def prepare(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(usable(batch.column(1)))], ["id", "key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], binary_array(usable(batch.column(2)))], ["id", "row", "key"])
 
-    base = written(vectors.select(ordered_id(id_col).alias("id"), F.col(vector_col)).mapInArrow(prepare, "id long, key binary"), "vectors")
-    nodes = base.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    nodes = written(nodes, "vectors-nodes")
+    numbered = vectors.select(ordered_id(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(vector_col))
+    base = written(numbered.mapInArrow(prepare, "id long, row long, key binary"), "vectors")
+    # A node is a distinct vector, numbered by its row of the smallest id.
+    nodes = base.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    nodes = written(nodes.select("key", F.col("first.row").alias("node"), "first", "copies"), "vectors-nodes")
     bits, tables = plan(nodes.count())
 
     def cells(batches):
@@ -167,9 +171,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 at = [i for i, k in enumerate(keys) if len(k) == size]
                 for i, c in zip(at, cell_keys(unit([keys[i] for i in at]), bits, tables), strict=True):
                     found[i] = c.tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(k) // 8 for k in keys], pa.int32()), binary_array(found)], ["key", "id", "copies", "dimension", "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(k) // 8 for k in keys], pa.int32()), binary_array(found)], ["key", "node", "copies", "dimension", "cells"])
 
-    coded = written(nodes.select("key", "id", "copies").mapInArrow(cells, "key binary, id long, copies long, dimension int, cells binary"), "vectors-codes")
+    coded = written(nodes.select("key", "node", "copies").mapInArrow(cells, "key binary, node long, copies long, dimension int, cells binary"), "vectors-codes")
 
     def spread(batches):
         for batch in batches:
@@ -178,32 +182,41 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(batch.column(0).to_numpy(), tables)), batch.column(1).take(pa.array(np.repeat(np.arange(n), tables))),
                 pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(np.concatenate(found) if n else np.zeros(0, np.int64)),
-            ], ["id", "dimension", "turn", "cell"])
+            ], ["node", "dimension", "turn", "cell"])
 
     place = ["turn", "dimension", "cell"]
-    members = coded.select("id", "dimension", "cells").mapInArrow(spread, "id long, dimension int, turn int, cell long")
+    members = coded.select("node", "dimension", "cells").mapInArrow(spread, "node long, dimension int, turn int, cell long")
     sizes = members.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = members.join(sizes, place).withColumn("blocks", blocks).withColumn("slot", F.pmod(F.xxhash64("id", "turn"), F.col("blocks")).cast("int"))
+    members = members.join(sizes, place).withColumn("blocks", blocks).withColumn("slot", F.pmod(F.xxhash64("node", "turn"), F.col("blocks")).cast("int"))
     # Every pair of blocks once: a member goes to the pairs its own block is in.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = members.select("id", *place, "slot", other).select("id", *place, "slot", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"))
+    members = members.select("node", *place, "slot", other).select("node", *place, "slot", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"))
     compared = (
-        members.join(coded.select("id", "key", "copies", "cells"), "id")
+        members.join(coded.select("node", "key", "copies", "cells"), "node")
         .groupBy(*place, "low", "high").applyInArrow(_compare, "a long, b long, links long")
     )
     compared = written(compared, "vectors-links")
     counts = compared.groupBy("a").agg(F.sum("links").alias("links"))
-    parts = components(compared.where("a <> b").select("a", "b"))
-    known = nodes.join(counts.withColumnRenamed("a", "id"), "id", "left").join(parts, "id", "left").select(
-        "key", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component")
+    parts = components(compared.where("a <> b").select("a", "b")).withColumnRenamed("id", "node")
+    smallest = parts.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
+    named = parts.join(smallest, "component").select("node", "least")
+    known = nodes.join(counts.withColumnRenamed("a", "node"), "node", "left").join(named, "node", "left").select(
+        "key", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("least", "first").alias("first")
     )
+    first = F.coalesce("first", F.struct("id", "row"))
     return base.join(known, "key", "left").select(
-        "id", F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component")
+        "id", F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+        first["id"].alias("component"), (first["row"] == F.col("row")).alias("kept"),
     )
 
 
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``id, n_links, component`` of ``marked_vectors``."""
+    return marked_vectors(vectors, id_col, vector_col).drop("kept")
+
+
 def op10_embedding_dedup(spark, sf_dir) -> DataFrame:
-    found = near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    found = marked_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     shown = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return found.select(shown("id").alias("vec_id"), "n_links", shown("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    return found.select(shown("id").alias("vec_id"), "n_links", shown("component").alias("component_id"), "kept")

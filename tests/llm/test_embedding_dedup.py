@@ -40,6 +40,20 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch):
     assert e.near_vectors(d.limit(0)).collect() == []
 
 
+def test_ids_join_no_vectors(spark):
+    one, two, three, four = np.eye(8)[:4].tolist()
+    near = lambda v, c: [x + c * (k == 7) for k, x in enumerate(v)]
+    rows = [(1, one), (None, near(one, 0.1)), (2, two), (None, near(two, 0.1)), (None, three), (None, three), (None, near(three, 0.1))]
+    rows += [(9, four), (9, near(four, 0.1)), (None, None), (9, [])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    last = e.LAST_ID
+    found = e.marked_vectors(d).collect()
+    assert sorted((r.id, r.n_links, r.component) for r in found) == sorted([
+        (1, 1, 1), (last, 1, 1), (2, 1, 2), (last, 1, 2), (last, 2, last), (last, 2, last), (last, 2, last), (9, 1, 9), (9, 1, 9), (last, 0, last), (9, 0, 9),
+    ])
+    assert sorted(r.id for r in found if r.kept) == [1, 2, 9, 9, last, last]
+
+
 def test_recall_at_the_threshold():
     rnd = np.random.default_rng(2)
     for n in (1000, 10**6):
