@@ -37,7 +37,7 @@ from dropforge.llm.words import hash_spans, mixed, text_bytes
 
 LENGTH = 50
 GRAM = 24
-TRIGGER_BITS, CONTENT_BITS = 56, 40  # a phrase is told by both
+TRIGGER_BITS, CONTENT_BITS = 56, 64  # a phrase is told by both; those of one hot trigger by the content alone
 BLOCK_ROWS = 1250
 _AGAIN = 0x5851F42D4C957F2D
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dropforge.llm import keyed, suffix_dedup
@@ -59,3 +60,14 @@ def test_rolling_hash_is_that_of_the_bytes():
         for i, x in enumerate(h):
             assert seen.setdefault(raw[i : i + n].tobytes(), x) == x
         assert len(set(h)) == len(seen)
+
+
+def test_phrases_of_one_trigger_are_told_apart_by_every_bit(monkeypatch):
+    rnd = random.Random(8)
+    shared = "".join(rnd.choice("abcdefgh ") for _ in range(200))
+    texts = [shared + f" own ending number {i} " * 4 for i in range(50)]
+    rows = pa.table({"id": list(range(50)), "text": texts})
+    phrases = len(suffix_dedup.Parse(rows).sample)
+    hashed = suffix_dedup.hash_spans
+    monkeypatch.setattr(suffix_dedup, "hash_spans", lambda *a: hashed(*a) >> np.uint64(40))
+    assert len(suffix_dedup.Parse(rows).sample) == phrases
