@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dropforge.llm import decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, quality, source_mix, suffix_dedup, toxicity
+from dropforge.llm import (
+    chat_format, decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, quality, source_mix, suffix_dedup, toxicity,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,8 +17,10 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_katz": katz.op9_katz,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op13_chat_format": chat_format.op13_chat_format,
 }
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op6_source_mix": source_mix.SQL,
+    "op13_chat_format": chat_format.SQL,
 }
