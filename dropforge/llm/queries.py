@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dropforge.llm import (
-    chat_format, decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, quality, source_mix, suffix_dedup, toxicity,
+    chat_format, decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, periodic_runs, quality, source_mix, suffix_dedup,
+    toxicity,
 )
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_katz": katz.op9_katz,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_chat_format": chat_format.op13_chat_format,
 }
 SQL = {

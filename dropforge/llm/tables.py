@@ -40,3 +40,18 @@ def input_bytes(df: DataFrame) -> int:
 def blocks_for(df: DataFrame, bytes_per_block: int, least: int = 1) -> int:
     """Groups to deal the rows of ``df`` to, so that each holds about ``bytes_per_block`` of its input."""
     return max(least, -(-input_bytes(df) // bytes_per_block))
+
+
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame, leave_out: tuple[str, ...] = ()) -> Column:
+    """All columns as one struct, so that none of them can clash with what an operator adds."""
+    return F.struct(*[quoted(c).alias(c) for c in df.columns if c not in leave_out])
+
+
+def unpacked(df: DataFrame, row: str, *added: str) -> DataFrame:
+    """The columns of a struct made by ``whole_row``, and added ones beside them."""
+    return df.select(*[F.col(row).getField(c).alias(c) for c in df.schema[row].dataType.names], *added)

@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+WHITE_SPACE = np.zeros(256, bool)
+WHITE_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: ASCII letters and digits and every byte of other characters belong to a word.
 _WORD = np.zeros(256, bool)
 _WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -85,6 +85,42 @@ def hash_spans(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
         return mixed((sums[last] - sums[first]) * down[first])
 
 
+def spans_array(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The byte spans and, between each two of them, what lies between: values over the same bytes, not copied."""
+    if not len(first):
+        return pa.array([], pa.binary())
+    cuts = np.stack([first, last], 1).ravel().astype(np.int32 if len(raw) < 2**31 else np.int64)
+    kind = pa.binary() if cuts.dtype == np.int32 else pa.large_binary()
+    return pa.Array.from_buffers(kind, len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def exact_words(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Numbers of the byte spans, equal for equal bytes: from a dictionary, not from hashes."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    return spans_array(raw, first, last).dictionary_encode().indices.to_numpy()[::2].astype(np.int64)
+
+
+def joined_words(raw: np.ndarray, first: np.ndarray, last: np.ndarray, before: np.ndarray, kept: np.ndarray) -> pa.Array:
+    """Per text its kept words joined by one space."""
+    own = np.flatnonzero(kept)
+    sizes = last[own] - first[own] + 1
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    padded = np.append(raw, np.uint8(0x20))
+    out = padded[np.repeat(first[own] - (ends - sizes), sizes) + np.arange(total)]
+    out[ends - 1] = 0x20
+    many = np.concatenate([[0], np.cumsum(kept)])[before]  # kept words before each text
+    cuts = np.concatenate([[0], ends])[many]
+    full = np.diff(cuts) > 0
+    stays = np.ones(total, bool)
+    stays[cuts[1:][full] - 1] = False  # no space behind the last word of a text
+    sizes = np.diff(cuts) - full
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    kind, width = (pa.string(), np.int32) if offsets[-1] < 2**31 else (pa.large_string(), np.int64)
+    return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(out[stays])])
+
+
 def ascii_lower(raw: np.ndarray) -> np.ndarray:
     return np.where((raw >= 0x41) & (raw <= 0x5A), raw + np.uint8(32), raw).astype(np.uint8)
 
@@ -100,7 +136,7 @@ def spaced_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of what stands between white space, A-Z lower-cased, and how many precede each text."""
     raw, offsets = text_bytes(texts)
     raw = ascii_lower(raw)
-    first, last, before = word_spans(raw, offsets, ~_SPACE)
+    first, last, before = word_spans(raw, offsets, ~WHITE_SPACE)
     return hash_spans(raw, first, last), before
 
 
