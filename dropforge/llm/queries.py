@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from dropforge.llm import (
-    chat_format, decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, periodic_runs, quality, source_mix, suffix_dedup,
-    toxicity,
+    chat_format, decontaminate, embedding_dedup, html_extract, katz, line_dedup, minhash, periodic_runs, quality, ranked_search, source_mix,
+    suffix_dedup, toxicity,
 )
 
 QUERIES = {
@@ -18,11 +18,13 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_katz": katz.op9_katz,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_chat_format": chat_format.op13_chat_format,
 }
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op6_source_mix": source_mix.SQL,
+    "op11_ranked_search": ranked_search.SQL,
     "op13_chat_format": chat_format.SQL,
 }
