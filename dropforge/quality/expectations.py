@@ -93,8 +93,8 @@ class Expectation:
     detail: str | None = None
 
 
-def violation_counts(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """Violations of a whole suite in one scan of the columns it checks.
+def violation_columns(df: DataFrame, suite: list[Expectation]) -> list[Column]:
+    """Aggregates over ``df``, one per expectation: how many rows break it.
 
     A missing column or a wrong type concerns every row, so it counts all of them.
     """
@@ -108,9 +108,12 @@ def violation_counts(df: DataFrame, suite: list[Expectation]) -> DataFrame:
             return _not_bool(df, e.column)
         return _not_format(df, e.column, e.detail or "YYYY-MM-DD")
 
-    counts = df.agg(
-        *[F.coalesce(F.sum(broken(e).cast("long")), F.lit(0)).alias(f"_{i}") for i, e in enumerate(suite)]
-    )
+    return [F.coalesce(F.sum(broken(e).cast("long")), F.lit(0)) for e in suite]
+
+
+def violation_counts(df: DataFrame, suite: list[Expectation]) -> DataFrame:
+    """Violations of a whole suite in one scan of the columns it checks."""
+    counts = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(violation_columns(df, suite))])
     rows = [
         F.struct(
             F.lit(e.kind).alias("expectation"),

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from dropforge.functions.calendar import reference_date
 from dropforge.plans.registry import Views
 from dropforge.quality.drops import header_report, issues, require_valid
-from dropforge.quality.expectations import Expectation, violation_counts
+from dropforge.quality.expectations import Expectation, violation_columns, violation_counts
 from dropforge.sinks.publish import require_loaded
-from dropforge.sinks.store import Store
+from dropforge.sinks.store import Commit, Store
 from dropforge.sources.headers import Header, read_headers
 from dropforge.sources.landing import select_drops
 from dropforge.sources.reader import MALFORMED, conform, fault_counts, good_rows, malformed_rows, read_text
@@ -23,23 +23,29 @@ REJECTED = "_rejected"
 FAULTS = "table_name string, fault string, column_name string, found long"
 
 
-def load_drop(store: Store, path: str, source: Source, day: date, header: Header | None = None) -> dict[str, int]:
-    """Conform one drop into its table and history; gives the counts of ``fault_counts``, taken on the way.
+def load_drop(
+    run: Commit, path: str, source: Source, day: date, header: Header | None = None, suite: list[Expectation] | None = None
+) -> tuple[dict[str, int], list[int]]:
+    """Conform one drop into its table and history as part of a run.
 
-    Rows of another width than the header go to the history of ``<table>_rejected``, as they are in the drop. A drop
-    without such rows is parsed once.
+    Gives the counts of ``fault_counts`` and the violations of ``suite``, all taken on the way: the drop is parsed once and
+    the loaded rows are not read again. Rows of another width than the header go to the history of ``<table>_rejected``, as
+    they are in the drop; only a drop that has such rows is parsed for them again.
     """
-    raw = read_text(store.spark, path, source, header)
+    raw = read_text(run.store.spark, path, source, header)
     counts = fault_counts(raw, source)
-    seen = Observation()
-    passed = raw.observe(seen, *[c.alias(f"n{i}") for i, c in enumerate(counts.values())])
-    store.load(conform(good_rows(passed), source), source.name, day)
+    seen, checked = Observation(), Observation()
+    rows = conform(good_rows(raw.observe(seen, *[c.alias(f"n{i}") for i, c in enumerate(counts.values())])), source)
+    if suite:
+        rows = rows.observe(checked, *[c.alias(f"v{i}") for i, c in enumerate(violation_columns(rows, suite))])
+    run.load(rows, source.name, day)
     found = {name: seen.get[f"n{i}"] or 0 for i, name in enumerate(counts)}
+    violated = [checked.get[f"v{i}"] for i in range(len(suite))] if suite else []
     rejected = source.name + REJECTED
-    if found["malformed"] or store.has_history(rejected):
-        rows = malformed_rows(raw).select(F.lit(path).alias("drop"), F.col(MALFORMED).alias("row"))
-        store.append_history(rows, rejected, day)
-    return found
+    if found["malformed"] or run.store.has_history(rejected):
+        malformed = malformed_rows(raw).select(F.lit(path).alias("drop"), F.col(MALFORMED).alias("row"))
+        run.append_history(malformed, rejected, day)
+    return found, violated
 
 
 def load_all(
@@ -57,10 +63,11 @@ def load_all(
 ) -> tuple[Views, DataFrame, DataFrame]:
     """Load the newest drop of every source; gives the views over the store, the row counts and the faults.
 
-    All declared tables are there after it, empty where no drop came. ``on_invalid="skip"`` loads the other drops when
-    one has another header than declared. ``most_malformed`` stops the run after loading if a larger share of a
-    drop's rows was rejected. ``suites`` are expectations to count violations of, by table. ``at_once`` drops are
-    loaded side by side, so that small ones do not leave the cluster waiting.
+    All loads are published together at the end (``Store.commit``): a run that stops for any reason changes nothing,
+    and the views stand on the version that it published. All declared tables are there after it, empty where no drop came.
+    ``on_invalid="skip"`` loads the other drops when one has another header than declared. ``most_malformed`` stops the run
+    if a larger share of a drop's rows was rejected. ``suites`` are expectations to count violations of, by table, as the
+    rows are written. ``at_once`` drops are loaded side by side, so that small ones do not leave the cluster waiting.
 
     Faults are rows ``table_name, fault, column_name, found``: ``malformed`` rows, ``failed_cast``,
     ``unmapped_boolean``, ``cut_text``, ``header`` (with the issue for a column) and violated expectations.
@@ -84,34 +91,39 @@ def load_all(
             faults += [(by_path[f].name, "header", issue, 1) for f, issue in wrong]
             drops = {name: path for name, path in drops.items() if path not in {f for f, _ in wrong}}
 
-    def load(drop):
-        name, path = drop
-        return load_drop(store, path, sources[name], day, headers[path])
-
-    def declare(source):
-        if source.fields is not None and source.name not in drops:
-            store.declare(source)
-
-    with ThreadPoolExecutor(at_once) as pool:
-        list(pool.map(declare, sources.values()))
-        found = dict(zip(drops, pool.map(load, drops.items()), strict=True))
-    for name, counts in found.items():
-        for key, n in counts.items():
-            if n and key != "rows":
-                faults.append((name, *(key.split(":", 1) if ":" in key else (key, "")), n))
-    counts = spark.createDataFrame([(name, n["rows"]) for name, n in found.items()], "table_name string, row_count long")
-    require_loaded(counts)
-    report = spark.createDataFrame(faults, FAULTS)
-    for table, suite in (suites or {}).items():
-        violated = violation_counts(store.read(table), suite).where("violations > 0")
-        report = report.unionByName(violated.select(
-            F.lit(table).alias("table_name"), F.concat(F.lit("expectation:"), "expectation").alias("fault"), "column_name", F.col("violations").alias("found")
-        ))
-    if most_malformed is not None:
-        over = [n for n, c in found.items() if c["malformed"] > most_malformed * (c["rows"] + c["malformed"])]
-        if over:
-            raise RuntimeError(f"too many malformed rows: {', '.join(sorted(over))}")
-    return Views(store.read, day), counts, report
+    suites = suites or {}
+    with store.commit() as run:
+
+        def load(drop):
+            name, path = drop
+            return load_drop(run, path, sources[name], day, headers[path], suites.get(sources[name].name))
+
+        def declare(source):
+            if source.fields is not None and source.name not in drops:
+                run.declare(source)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(declare, sources.values()))
+            loaded = dict(zip(drops, pool.map(load, drops.items()), strict=True))
+        found = {name: counts for name, (counts, _) in loaded.items()}
+        counts = spark.createDataFrame([(name, n["rows"]) for name, n in found.items()], "table_name string, row_count long")
+        require_loaded(counts)
+        if most_malformed is not None:
+            over = [n for n, c in found.items() if c["malformed"] > most_malformed * (c["rows"] + c["malformed"])]
+            if over:
+                raise RuntimeError(f"too many malformed rows: {', '.join(sorted(over))}")
+    for name, n in found.items():
+        for key, many in n.items():
+            if many and key != "rows":
+                faults.append((name, *(key.split(":", 1) if ":" in key else (key, "")), many))
+    for name, (_, violated) in loaded.items():
+        faults += [(name, f"expectation:{e.kind}", e.column, v) for e, v in zip(suites.get(name) or (), violated, strict=True) if v]
+    unseen = [t for t in suites if t not in loaded]  # tables without a drop in this run
+    for table in unseen:
+        if store.has(table):
+            held = violation_counts(store.read(table), suites[table]).where("violations > 0").collect()  # one row per expectation
+            faults += [(table, f"expectation:{r.expectation}", r.column_name, r.violations) for r in held]
+    return Views(store.snapshot(), day), counts, spark.createDataFrame(faults, FAULTS)
 
 
 def run(spark: SparkSession, landing: str, store: Store, **options) -> tuple[Views, DataFrame]:

@@ -1,20 +1,82 @@
-"""Where landed tables live: catalog tables of a namespace, or Parquet folders under a shared root."""
+"""Where landed tables live: catalog tables of a namespace, or Parquet folders under a shared root.
+
+Every write goes to a place of its own, and a version of the store (``dropforge.sinks.manifest``) says which places
+count. ``Store.commit()`` collects the writes of a run and publishes them together, so a run that fails or is killed
+leaves every table and its history as they were, a day that was loaded before included.
+
+A version holds ``history``: by table and day the load that counts, with its number of rows and its columns, and
+``tables``: by name the day whose load is the current table, or the write of a table that was saved by itself.
+
+    <root>/z<table>/date_ingestion=<day>/load=<id>    a load, in the history and, for the current day, the table
+    <root>/<table>/save=<id>                          a table that was saved by itself
+    <root>/_versions/v<number>.json                   the versions
+
+In a namespace the loads are partitions of the catalog table ``z<table>__loads``, and the versions lie under the
+database. ``z<table>`` and ``<table>`` are views over it for SQL; they are replaced one by one right after a commit. A
+table saved by itself is a plain table there, and is replaced when it is written.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from dropforge.session import exists
+from dropforge.sinks.manifest import Manifests
 from dropforge.sources.schemas import SOURCES, Source
 
 HISTORY_PREFIX = "z"
 INGESTED_ON = "date_ingestion"
-CURRENT = ".current"
+LOAD, SAVE = "load", "save"
+LOADS = "__loads"
+
+
+def _id() -> str:
+    return f"r{uuid.uuid4().hex}"  # a letter first, so that no reader takes it for a number
+
+
+@dataclass
+class Commit:
+    """Writes of one run: each one is there when its call returns, none is seen before the run is published."""
+
+    store: Store
+    changes: list[tuple[str, str, str | None, dict]] = field(default_factory=list)
+
+    def append_history(self, df: DataFrame, table: str, day: date) -> int:
+        """Add a load to the history of ``table``, in place of an earlier one of that day; gives its number of rows."""
+        counted, load_id = Observation(), _id()
+        self.store._write_load(df.observe(counted, F.count(F.lit(1)).alias("rows")), table, day, load_id)
+        rows = counted.get["rows"]
+        self.changes.append(("history", table, day.isoformat(), {LOAD: load_id, "rows": rows, "columns": df.columns}))
+        return rows
+
+    def load(self, df: DataFrame, table: str, day: date) -> int:
+        """Make ``df`` the load of ``day`` and the current table. Its rows are written once, into the history."""
+        rows = self.append_history(df, table, day)
+        self.changes.append(("tables", table, None, {"day": day.isoformat()}))
+        return rows
+
+    def save(self, df: DataFrame, table: str) -> None:
+        """Replace a table by itself."""
+        self.changes.append(("tables", table, None, self.store._write_table(df, table, _id())))
+
+    def declare(self, source: Source) -> None:
+        """Create the table of a source if it is not there yet."""
+        if not self.store.has(source.name):
+            self.save(self.store.spark.createDataFrame([], source.schema), source.name)
+
+    def apply(self, version: dict) -> None:
+        for kind, table, day, entry in self.changes:
+            if kind == "tables":
+                version["tables"][table] = entry
+            else:
+                version["history"].setdefault(table, {})[day] = entry
 
 
 @dataclass(frozen=True)
@@ -22,115 +84,213 @@ class Store:
     spark: SparkSession
     namespace: str | None = None
     root: str | None = None
-    _days: dict[str, date | None] = field(default_factory=dict, compare=False, repr=False)
+
+    # ---- Places ----
 
     def _location(self, table: str) -> str:
         if self.root:
             return f"{self.root.rstrip('/')}/{table}"
         return f"{self.namespace}.{table}" if self.namespace else table
 
-    def _loaded_on(self, table: str) -> date | None:
-        """The day whose load is the current table; None for a table that was saved by itself."""
-        if table not in self._days:
-            at = self._location(table) + CURRENT
-            self._days[table] = self.spark.read.parquet(at).first()["day"] if exists(self.spark, at) else None
-        return self._days[table]
+    def _load_folder(self, table: str, day: str, load_id: str) -> str:
+        return f"{self._location(HISTORY_PREFIX + table)}/{INGESTED_ON}={day}/{LOAD}={load_id}"
+
+    def _loads(self, table: str) -> str:
+        return self._location(HISTORY_PREFIX + table + LOADS)
 
-    def _point_to(self, table: str, day: date | None) -> None:
-        if day != self._loaded_on(table):
-            self.spark.createDataFrame([(day,)], "day date").coalesce(1).write.mode("overwrite").parquet(self._location(table) + CURRENT)
-            self._days[table] = day
+    @cached_property
+    def _manifests(self) -> Manifests:
+        home = self.root or self.spark.catalog.getDatabase(self.namespace or self.spark.catalog.currentDatabase()).locationUri
+        return Manifests(self.spark, home)
+
+    # ---- Reading ----
+
+    def version(self) -> dict:
+        return self._manifests.latest()[1]
 
     def read(self, table: str) -> DataFrame:
-        at = self._location(table)
-        if not self.root:
-            return self.spark.table(at)
-        day = self._loaded_on(table)
-        if day:
-            at = f"{self._location(HISTORY_PREFIX + table)}/{INGESTED_ON}={day.isoformat()}"
-        return self.spark.read.parquet(at)
+        return self._read(self.version(), table)
+
+    def snapshot(self):
+        """``read`` as of now: all tables from one version, whatever is published later."""
+        version = self.version()
+        return lambda table: self._read(version, table)
+
+    def _read(self, version: dict, table: str) -> DataFrame:
+        entry = version["tables"].get(table)
+        if entry is None:  # a table that something else put there
+            at = self._location(table)
+            return self.spark.read.parquet(at) if self.root else self.spark.table(at)
+        if SAVE in entry:
+            return self.spark.read.parquet(f"{self._location(table)}/{SAVE}={entry[SAVE]}") if self.root else self.spark.table(self._location(table))
+        load_id = version["history"][table][entry["day"]][LOAD]
+        if self.root:
+            return self.spark.read.parquet(self._load_folder(table, entry["day"], load_id))
+        own = self.spark.table(self._loads(table)).where((F.col(INGESTED_ON) == F.lit(entry["day"]).cast("date")) & (F.col(LOAD) == load_id))
+        return own.select(*[F.col(f"`{c}`") for c in version["history"][table][entry["day"]]["columns"]])
 
     def history(self, table: str, *, merge_columns: bool = True) -> DataFrame:
         """All loads of a table, with the columns of all of them.
 
         ``merge_columns=False`` saves reading the footers of folders whose loads are known to have the same columns.
         """
-        at = self._location(HISTORY_PREFIX + table)
-        return self.spark.read.option("mergeSchema", merge_columns).parquet(at) if self.root else self.spark.table(at)
+        days = self.version()["history"].get(table)
+        if days is None:
+            raise ValueError(f"no load of {table} was published")
+        if not self.root:
+            # Never null; said this way, the days a reader asks for are the first thing partitions are pruned by.
+            counts = F.coalesce(F.col(LOAD), F.lit("")).isin([e[LOAD] for e in days.values()])
+            return self.spark.table(self._loads(table)).where(counts).drop(LOAD)
+        reader = self.spark.read.option("mergeSchema", merge_columns).option("basePath", self._location(HISTORY_PREFIX + table))
+        return reader.parquet(*[self._load_folder(table, day, e[LOAD]) for day, e in sorted(days.items())]).drop(LOAD)
+
+    def has(self, table: str) -> bool:
+        return table in self.version()["tables"] or self._foreign(table)
+
+    def _foreign(self, table: str) -> bool:
+        """Whether something else put a table there; writes that were not published are none."""
+        at = self._location(table)
+        if not self.root:
+            return self.spark.catalog.tableExists(at)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+        fs = self._manifests._fs
+        names = [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+        return any(not n.startswith((f"{SAVE}=", ".", "_")) for n in names)
 
     def has_history(self, table: str) -> bool:
-        at = self._location(HISTORY_PREFIX + table)
-        return exists(self.spark, at) if self.root else self.spark.catalog.tableExists(at)
+        return table in self.version()["history"]
+
+    def load_counts(self) -> DataFrame:
+        """``table_name, date_ingestion, row_count`` of every load that counts, without opening a file."""
+        rows = [(t, date.fromisoformat(d), e["rows"]) for t, days in self.version()["history"].items() for d, e in days.items()]
+        return self.spark.createDataFrame(rows, f"table_name string, {INGESTED_ON} date, row_count long")
+
+    # ---- Writing ----
+
+    @contextmanager
+    def commit(self) -> Iterator[Commit]:
+        """Writes that are published together, if nothing fails until the end of the block."""
+        run = Commit(self)
+        yield run
+        if run.changes:
+            version = self._manifests.publish(run.apply)
+            if not self.root:
+                self._show(version, dict.fromkeys(t for _, t, _, _ in run.changes))
 
     def declare(self, source: Source) -> None:
         """Create the table of a source if it is not there yet."""
-        empty = self.spark.createDataFrame([], source.schema)
-        at = self._location(source.name)
-        if self.root:
-            if self._loaded_on(source.name) is None:
-                empty.write.mode("ignore").parquet(at)
-        elif not self.spark.catalog.tableExists(at):
-            empty.write.format("parquet").saveAsTable(at)
+        with self.commit() as run:
+            run.declare(source)
 
     def declare_all(self) -> None:
-        for source in SOURCES.values():
-            if source.fields is not None:
-                self.declare(source)
+        with self.commit() as run:
+            for source in SOURCES.values():
+                if source.fields is not None:
+                    run.declare(source)
 
     def save(self, df: DataFrame, table: str) -> None:
         """Replace a table."""
-        at = self._location(table)
-        if self.root:
-            df.write.mode("overwrite").parquet(at)
-            self._point_to(table, None)
-        else:
-            self._drop_if("VIEW", at)
-            df.write.mode("overwrite").format("parquet").saveAsTable(at)
-
-    def _drop_if(self, kind: str, at: str) -> None:
-        if self.spark.catalog.tableExists(at):
-            found = self.spark.catalog.getTable(at).tableType
-            if (found == "VIEW") == (kind == "VIEW"):
-                self.spark.sql(f"DROP {kind} {at}")
+        with self.commit() as run:
+            run.save(df, table)
 
     def load(self, df: DataFrame, table: str, day: date) -> None:
         """Make ``df`` the load of ``day`` and the current table. Its rows are written once, into the history."""
-        self.append_history(df, table, day)
-        if self.root:
-            self._point_to(table, day)
-            return
-        at = self._location(table)
-        self._drop_if("TABLE", at)
-        names = ", ".join(f"`{c}`" for c in df.columns)
-        past = self._location(HISTORY_PREFIX + table)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {at} AS SELECT {names} FROM {past} WHERE {INGESTED_ON} = DATE '{day.isoformat()}'")
+        with self.commit() as run:
+            run.load(df, table, day)
 
     def append_history(self, df: DataFrame, table: str, day: date) -> None:
         """Add a load to the history of ``table``. Loading a day again replaces that day, also by an empty load.
 
         A column that is new is null in earlier loads, one that is gone is null in this one.
         """
-        at = self._location(HISTORY_PREFIX + table)
+        with self.commit() as run:
+            run.append_history(df, table, day)
+
+    def copy_to(self, target: Store, names: dict[str, str]) -> None:
+        """Copy tables of one version into another store under new names, published together."""
+        read = self.snapshot()
+        with target.commit() as run:
+            for table, renamed in names.items():
+                run.save(read(table), renamed)
+
+    def clean(self) -> list[str]:
+        """Delete the loads and saved tables under ``root`` that no kept version names; gives their folders.
+
+        To be called when no load is running: what a running one has written is not named yet.
+        """
+        if not self.root:
+            raise ValueError("only folders are cleaned; drop partitions of a catalog table with SQL")
+        versions = [self._manifests.read(n) for n in self._manifests.numbers()]
+        named = {self._load_folder(t, d, e[LOAD]) for v in versions for t, days in v["history"].items() for d, e in days.items()}
+        named |= {f"{self._location(t)}/{SAVE}={e[SAVE]}" for v in versions for t, e in v["tables"].items() if SAVE in e}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs, gone = self._manifests._fs, []
+        tables = {t for v in versions for t in v["tables"]} | {HISTORY_PREFIX + t for v in versions for t in v["history"]}
+        for table in sorted(tables):
+            base = self._location(table)
+            for pattern in (f"{SAVE}=*", f"{INGESTED_ON}=*/{LOAD}=*"):
+                for status in fs.globStatus(path(f"{base}/{pattern}")) or ():
+                    at = status.getPath().toUri().getPath()
+                    folder = base + at[at.rindex(f"/{table}/") + len(table) + 1 :]
+                    if folder not in named:
+                        fs.delete(status.getPath(), True)
+                        gone.append(folder)
+        return gone
+
+    def _write_load(self, df: DataFrame, table: str, day: date, load_id: str) -> None:
         if self.root:
-            # The day's own folder: an overwrite by partitions would leave a day that gets no rows.
-            df.write.mode("overwrite").parquet(f"{at}/{INGESTED_ON}={day.isoformat()}")
-        elif self.spark.catalog.tableExists(at):
-            known = {f.name.lower(): f for f in self.spark.table(at).schema if f.name != INGESTED_ON}
+            df.write.parquet(self._load_folder(table, day.isoformat(), load_id))
+            return
+        at = self._loads(table)
+        if self.spark.catalog.tableExists(at):
+            known = {f.name.lower(): f for f in self.spark.table(at).schema if f.name not in (INGESTED_ON, LOAD)}
             new = [f for f in df.schema if f.name.lower() not in known]
             if new:
                 self.spark.sql(f"ALTER TABLE {at} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
             own = {c.lower() for c in df.columns}
             columns = [F.col(f"`{f.name}`") if n in own else F.lit(None).cast(f.dataType).alias(f.name) for n, f in known.items()]
-            # Named partition: on catalog tables the dynamic mode is a session setting, not a writer's option.
+            # A partition of its own: nothing that counts is overwritten.
             self.spark.sql(
-                f"INSERT OVERWRITE TABLE {at} PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}') SELECT * FROM {{load}}",
+                f"INSERT OVERWRITE TABLE {at} PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}', {LOAD} = '{load_id}') SELECT * FROM {{load}}",
                 load=df.select(*columns, *[F.col(f"`{f.name}`") for f in new]),
             )
         else:
-            dated = df.withColumn(INGESTED_ON, F.lit(day).cast(T.DateType()))
-            dated.write.format("parquet").partitionBy(INGESTED_ON).saveAsTable(at)
+            placed = df.withColumns({INGESTED_ON: F.lit(day).cast("date"), LOAD: F.lit(load_id)})
+            placed.write.format("parquet").partitionBy(INGESTED_ON, LOAD).saveAsTable(at)
 
-    def copy_to(self, target: Store, names: dict[str, str]) -> None:
-        """Copy tables into another store under new names."""
-        for table, renamed in names.items():
-            target.save(self.read(table), renamed)
+    def _write_table(self, df: DataFrame, table: str, load_id: str) -> dict:
+        at = self._location(table)
+        if self.root:
+            df.write.parquet(f"{at}/{SAVE}={load_id}")
+        else:
+            self._drop_view(at)
+            df.write.mode("overwrite").format("parquet").saveAsTable(at)
+        return {SAVE: load_id}
+
+    # ---- Views over a catalog's loads ----
+
+    def _drop_view(self, at: str) -> None:
+        if self.spark.catalog.tableExists(at) and self.spark.catalog.getTable(at).tableType == "VIEW":
+            self.spark.sql(f"DROP VIEW {at}")
+
+    def _show(self, version: dict, tables) -> None:
+        for table in tables:
+            days = version["history"].get(table)
+            if days is None:
+                continue
+            own = [c for c in self.spark.table(self._loads(table)).columns if c not in (INGESTED_ON, LOAD)]
+            names = ", ".join(f"`{c}`" for c in own)
+            loads = ", ".join(f"'{e[LOAD]}'" for e in days.values())
+            self._view(HISTORY_PREFIX + table, f"SELECT {names}, {INGESTED_ON} FROM {self._loads(table)} WHERE {LOAD} IN ({loads})")
+            entry = version["tables"].get(table, {})
+            if "day" in entry:
+                current = days[entry["day"]]
+                names = ", ".join(f"`{c}`" for c in current["columns"])
+                where = f"{INGESTED_ON} = DATE '{entry['day']}' AND {LOAD} = '{current[LOAD]}'"
+                self._view(table, f"SELECT {names} FROM {self._loads(table)} WHERE {where}")
+
+    def _view(self, table: str, query: str) -> None:
+        at = self._location(table)
+        if self.spark.catalog.tableExists(at) and self.spark.catalog.getTable(at).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {at}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {at} AS {query}")

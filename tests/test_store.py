@@ -141,3 +141,73 @@ def test_export(spark, tmp_path):
 
 def test_scratch_is_new_each_time(spark):
     assert scratch(spark, "a") != scratch(spark, "a")
+
+
+def failing(spark):
+    """Two rows, and then the job fails."""
+    return spark.range(3, numPartitions=1).selectExpr("CAST(id AS INT) AS k", "IF(id = 2, CAST(raise_error('stopped') AS STRING), 'x') AS v")
+
+
+def test_a_failed_reload_leaves_the_earlier_load(spark, store):
+    store.load(frame(spark, (1, "a"), (2, "b")), "t", date(2025, 1, 1))
+    store.save(frame(spark, (5, "e")), "s")
+    before = store.version()
+    with pytest.raises(Exception, match="stopped"):
+        store.load(failing(spark), "t", date(2025, 1, 1))
+    with pytest.raises(Exception, match="stopped"):
+        store.load(failing(spark), "t", date(2025, 1, 2))
+    with pytest.raises(Exception, match="stopped"), store.commit() as run:
+        run.load(frame(spark, (9, "z")), "t", date(2025, 1, 1))
+        run.load(failing(spark), "other", date(2025, 1, 1))
+    assert store.version() == before
+    for again in (store, Store(spark, namespace=store.namespace, root=store.root)):
+        assert sorted(again.read("t").collect()) == [(1, "a"), (2, "b")]
+        assert sorted(again.history("t").collect()) == [(1, "a", date(2025, 1, 1)), (2, "b", date(2025, 1, 1))]
+        assert again.read("s").collect() == [(5, "e")] and not again.has("other") and not again.has_history("other")
+    store.load(frame(spark, (3, "c")), "t", date(2025, 1, 1))
+    assert store.read("t").collect() == [(3, "c")] and store.history("t").count() == 1
+    if store.namespace:
+        assert spark.table("landed.t").collect() == [(3, "c")]
+        assert spark.table("landed.zt").collect() == [(3, "c", date(2025, 1, 1))]
+
+
+def test_a_run_is_seen_as_a_whole(spark, store):
+    with store.commit() as run:
+        run.load(frame(spark, (1, "a")), "t", date(2025, 1, 1))
+        run.load(frame(spark, (2, "b")), "u", date(2025, 1, 1))
+        assert store.version() == {"tables": {}, "history": {}} and not store.has("t")
+    earlier = store.snapshot()
+    with store.commit() as run:
+        run.load(frame(spark, (3, "c"), (4, "d")), "t", date(2025, 1, 2))
+        run.load(frame(spark, (5, "e")), "u", date(2025, 1, 2))
+        assert store.read("t").collect() == [(1, "a")] and store.read("u").collect() == [(2, "b")]
+    assert store.read("t").count() == 2 and store.read("u").collect() == [(5, "e")]
+    assert earlier("t").collect() == [(1, "a")] and earlier("u").collect() == [(2, "b")]
+    counts = {(r.table_name, r.date_ingestion.day): r.row_count for r in store.load_counts().collect()}
+    assert counts == {("t", 1): 1, ("t", 2): 2, ("u", 1): 1, ("u", 2): 1}
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    stores = [Store(spark, root=str(tmp_path)) for _ in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: stores[k].load(frame(spark, (k, "x")), f"t{k}", date(2025, 1, 1)), range(6)))
+    assert sorted(stores[0].read(f"t{k}").first()["k"] for k in range(6)) == list(range(6))
+    assert stores[0]._manifests.numbers() == list(range(1, 7))
+
+
+def test_clean_deletes_what_no_version_names(spark, tmp_path, monkeypatch):
+    from dropforge.sinks import manifest
+
+    monkeypatch.setattr(manifest, "KEPT", 1)
+    store = Store(spark, root=str(tmp_path))
+    for k in range(3):
+        store.load(frame(spark, (k, "a")), "t", date(2025, 1, 1))
+        store.save(frame(spark, (k, "b")), "s")
+    with pytest.raises(Exception, match="stopped"):
+        store.load(failing(spark), "t", date(2025, 1, 3))
+    assert len(store._manifests.numbers()) == 1
+    gone = store.clean()
+    assert len(gone) == 5 and store.clean() == []
+    assert store.read("t").collect() == [(2, "a")] and store.read("s").collect() == [(2, "b")] and store.history("t").count() == 1
