@@ -80,3 +80,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, wherever Spark can read it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()

@@ -6,18 +6,19 @@ split) maps the state it starts in to the one it ends in; composing those maps f
 per range, gives every range its state. Then each range finds its own records, and what reaches over a boundary is put
 together from the few fragments at the ends of ranges.
 
-The file is scanned twice, the first time only for lines with a quote, and a third time for fragments if any range starts
-inside quotes. Nothing of the lines is shuffled but the fragments. The state of ranges travels as one row per scan split,
-which the driver holds for its tasks anyway (``session`` allows 200,000).
+The file is scanned twice, the first time only for lines with a quote, and a third time for the fragments if a range starts
+inside quotes. Nothing of the lines is shuffled but the fragments. The driver gets the states, a few bytes for every scan split that
+starts or ends inside quotes or holds a quote; it holds more than that of every split it makes a task of.
 
 What a quote means is what the CSV reader makes of it: it opens a field only as its first character; inside, a doubled one
-stands for itself, and any other closes it, after which the rest of the field is unquoted. A record that is open when the
-file ends is the last one.
+stands for itself, and any other closes it, after which the rest of the field is unquoted. A record that is still open
+when its file ends is the last one, without the file's last line end (the CSV reader keeps that one).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 
 OUTSIDE, INSIDE = 0, 1
 WHOLE, HEAD, THROUGH, TAIL = range(4)
-_BOM = "﻿"
 
 
 def state_after(line: str, state: int, sep: str, quote: str = '"') -> int:
@@ -55,7 +55,10 @@ def state_after(line: str, state: int, sep: str, quote: str = '"') -> int:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, start, line``: the lines of each scan split in order. ``file`` is a digest of its path."""
+    """``file, start, line``: the lines of each scan split in order. ``file`` is a digest of its path.
+
+    Lines end at newlines; a carriage return before one stays with its line.
+    """
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
 
@@ -115,33 +118,77 @@ def range_states(lines: DataFrame, sep: str, quote: str = '"') -> DataFrame:
     return known.select("file", "start", "state", F.when(F.col("state") == INSIDE, F.col("inside")).otherwise(F.col("outside")).alias("following"))
 
 
-def _found_records(sep: str, quote: str):
-    """Rows ``file, start, kind, record`` of lines with the state of their range.
+@dataclass(frozen=True)
+class States:
+    """The states of the ranges that hold a quote, in order of file and start."""
+
+    file: np.ndarray
+    start: np.ndarray
+    state: np.ndarray
+    following: np.ndarray
+
+    @staticmethod
+    def of(found: DataFrame) -> States:
+        rows = sorted((r.file, r.start, r.state, r.following) for r in found.collect())  # one small row per scan split
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return States(*[np.array(c, np.int64) for c in columns])
+
+    def around(self, file: int, start: int) -> tuple[int, int]:
+        """The states before and after a range: one without a quote keeps what the last one before it ended in."""
+        a, b = np.searchsorted(self.file, file), np.searchsorted(self.file, file, "right")
+        k = a + int(np.searchsorted(self.start[a:b], start))
+        if k < b and self.start[k] == start:
+            return int(self.state[k]), int(self.following[k])
+        return (int(self.following[k - 1]),) * 2 if k > a else (OUTSIDE, OUTSIDE)
+
+    @property
+    def fragments(self) -> bool:
+        return bool((self.state == INSIDE).any() or (self.following == INSIDE).any())
+
+
+FOUND = "file long, start long, kind int, first boolean, record string"
+
+
+def _finder(states: States, sep: str, quote: str, fragments: bool = False):
+    """Rows ``FOUND`` of the lines of ranges: whole records, or the fragments at the ends of ranges.
 
     Lines up to the first that begins a record are a ``HEAD``, or ``THROUGH`` where none begins; the last record is a
     ``TAIL`` if it is open at the end; the others are ``WHOLE``.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, pending, headless = OUTSIDE, [], False
-        key = None
-
-        def row(kind, record):
+        key, state, pending, headless, header, skipped = None, OUTSIDE, [], False, False, False
+
+        def rows(kind, records):
+            """Blank records go; the first other one of a file is its header."""
+            nonlocal header
+            if kind == WHOLE:
+                records = records.filter(pc.invert(pc.is_in(records, value_set=pa.array(["", "\r"]))))
+            first = np.zeros(len(records), bool)
+            if header and len(records):
+                first[0], header = True, False
+            if fragments == (kind == WHOLE):
+                records, first = records.slice(0, 0), first[:0]
+            n = len(records)
             return pa.RecordBatch.from_arrays(
-                [pa.array([key[0]]), pa.array([key[1]]), pa.array([kind], pa.int32()), pa.array([record], pa.string())], ["file", "start", "kind", "record"]
+                [pa.array(np.full(n, key[0])), pa.array(np.full(n, key[1])), pa.array(np.full(n, kind, np.int32)), pa.array(first), records],
+                [field.split()[0] for field in FOUND.split(", ")],
             )
 
         def close():
             """What is pending at the end of a range."""
             if pending:
                 kind = (THROUGH if state == INSIDE else HEAD) if headless else (TAIL if state == INSIDE else WHOLE)
-                yield row(kind, "\n".join(pending))
+                yield rows(kind, pa.array(["\n".join(pending)], pa.string()))
 
         for at, part, begins in _by_range(batches):
             if begins:
                 yield from close()
-                key, pending, state = at, [], int(part.column(3)[0].as_py() or OUTSIDE)
-                headless = state == INSIDE
+                key, pending, (state, following) = at, [], states.around(*at)
+                headless, header = state == INSIDE, at[1] == 0
+                skipped = fragments and INSIDE not in (state, following)
+            if skipped:
+                continue
             lines = part.column(2)
             n = len(lines)
             opens = np.ones(n, bool)  # whether each line begins a record
@@ -156,54 +203,40 @@ def _found_records(sep: str, quote: str):
             if not len(first):
                 pending += lines.to_pylist()
                 continue
-            begin = int(first[0])
-            if pending or begin:
-                pending += lines.slice(0, begin).to_pylist()
-                yield row(HEAD if headless else WHOLE, "\n".join(pending))
-                headless = False
+            pending += lines.slice(0, int(first[0])).to_pylist()
+            if pending:
+                yield rows(HEAD if headless else WHOLE, pa.array(["\n".join(pending)], pa.string()))
             headless = False
-            sizes = np.diff(np.append(first, n))
-            many = len(first) - 1  # the last record may go on
-            if (sizes[:-1] == 1).all():
-                records = lines.slice(begin, many)
+            sizes = np.diff(first)
+            if (sizes == 1).all():
+                records = lines.slice(int(first[0]), len(sizes)).cast(pa.string())
             else:
                 every = lines.to_pylist()
-                records = pa.array([every[a] if size == 1 else "\n".join(every[a : a + size]) for a, size in zip(first[:-1], sizes[:-1], strict=True)], pa.string())
-            if many:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(many, key[0])), pa.array(np.full(many, key[1])), pa.array(np.full(many, WHOLE, np.int32)), records.cast(pa.string())],
-                    ["file", "start", "kind", "record"],
-                )
-            pending = lines.slice(int(first[-1])).to_pylist()
+                records = pa.array(["\n".join(every[a : a + size]) for a, size in zip(first[:-1], sizes, strict=True)], pa.string())
+            yield rows(WHOLE, records)
+            pending = lines.slice(int(first[-1])).to_pylist()  # the last record may go on
         yield from close()
 
     return find
 
 
+def _joined(fragments: DataFrame) -> DataFrame:
+    """Records from their fragments: a tail, what goes through, and the head of the range where the record ends."""
+    order = Window.partitionBy("file").orderBy("start", "kind")
+    numbered = fragments.withColumn("number", F.sum((F.col("kind") == TAIL).cast("long")).over(order))
+    parts = F.array_sort(F.collect_list(F.struct("start", "kind", "record")))
+    joined = numbered.groupBy("file", "number").agg(F.bool_or("first").alias("first"), parts.alias("parts"))
+    return joined.select("first", F.array_join("parts.record", "\n").alias("record"))
+
+
 def records(spark: SparkSession, path: str, sep: str, quote: str = '"') -> DataFrame:
-    """``record, first``: every record of a file or folder, newlines and all; ``first`` marks the first one of each file.
+    """``first, record``: every record of a file or folder, line ends inside quotes and all; ``first`` marks those of headers.
 
-    Line ends of the files' own kind, a newline or a carriage return and a newline, are a newline in the records. Blank
-    lines outside quotes are no records.
+    Blank lines outside quotes are no records. A carriage return before the newline that ends a record stays with it.
     """
     lines = read_lines(spark, path)
-    states = range_states(lines, sep, quote)
-    start = F.broadcast(states.select("file", "start", "state"))
-    # A range that is not known has no quote: what it starts in is what the last known one before it ended in.
-    placed = _with_state(lines, states)
-    kinds = "file long, start long, kind int, record string"
-    find = _found_records(sep, quote)
-    whole = placed.mapInArrow(find, kinds).where(F.col("kind") == WHOLE)
-    inside = states.where((F.col("state") == INSIDE) | (F.col("following") == INSIDE))
-    del start
-    if inside.isEmpty():
+    states = States.of(range_states(lines, sep, quote))
+    whole = lines.mapInArrow(_finder(states, sep, quote), FOUND).select("first", "record")
+    if not states.fragments:
         return whole
-    return whole.unionByName(_joined(placed.mapInArrow(find, kinds).where(F.col("kind") != WHOLE)))
-
-
-def _with_state(lines: DataFrame, states: DataFrame) -> DataFrame:
-    raise NotImplementedError
-
-
-def _joined(fragments: DataFrame) -> DataFrame:
-    raise NotImplementedError
+    return whole.unionByName(_joined(lines.mapInArrow(_finder(states, sep, quote, fragments=True), FOUND)))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropforge.functions.casts import cast_to, fails_cast
+from dropforge.session import size_of
 from dropforge.sources.headers import Header, column_names, csv_options, read_header
+from dropforge.sources.ranges import read_lines, records
 from dropforge.sources.schemas import MAX_LENGTH, Source
 
 MALFORMED = "_malformed"
@@ -17,17 +19,45 @@ def read_text(spark: SparkSession, path: str, source: Source, header: Header | N
     """The drop as text columns under normalised names, with ``_malformed`` holding rows of another width.
 
     The header is skipped by position and its names are applied here, so repeated and accented headers never
-    reach the CSV reader. ``header`` saves reading it again.
+    reach the CSV reader. ``header`` saves reading it again. A drop with quoted newlines that is larger than a scan split
+    is read by ranges (``dropforge.sources.ranges``), a smaller one by the CSV reader in one task per file: the rows are
+    the same.
     """
     sep, cells = header or read_header(spark, path, source)
     names = column_names(cells)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    if source.multiline and size_of(spark, path) > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        split = read_by_ranges(spark, path, sep, schema)
+        if split is not None:
+            return split
     reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", MALFORMED)
     # The width of a row is judged by the columns that are read, so all of them are.
     reader = reader.option("columnPruning", False)
     return csv_options(reader, sep, multiline=source.multiline).csv(path)
 
 
+def read_by_ranges(spark: SparkSession, path: str, sep: str, schema: T.StructType) -> DataFrame | None:
+    """``read_text`` of files with quoted newlines, by all cores; None where lines end with carriage returns alone.
+
+    All files of a drop end their lines alike.
+    """
+    head = read_lines(spark, path).select("line").head()
+    line = head["line"] if head else ""
+    if "\r" in line[:-1]:
+        return None
+    found = records(spark, path, sep).where(~F.col("first"))
+    read = F.col("record")
+    if line.endswith("\r"):
+        # In fields a line end is a newline; rejected rows stay as they are in the drop.
+        found = found.withColumn("record", F.when(read.endswith("\r"), F.left(read, F.length(read) - 1)).otherwise(read))
+        read = F.replace(read, F.lit("\r\n"), F.lit("\n"))
+    options = {"sep": sep, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    named = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    parsed = found.select("record", F.from_csv(read, named, options).alias("row"))
+    malformed = F.when(F.col("row")[MALFORMED].isNotNull(), F.col("record"))
+    return parsed.select(*[F.col("row").getField(f.name).alias(f.name) for f in schema.fields[:-1]], malformed.alias(MALFORMED))
+
+
 def conform(df: DataFrame, source: Source) -> DataFrame:
     """Cast to the declared fields in one projection.
 
