@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from dropforge.functions.calendar import reference_date
@@ -14,6 +15,7 @@ from dropforge.plans.constants import Cutoffs
 Builder = Callable[["Views"], DataFrame]
 
 VIEWS: dict[str, Builder] = {}
+NOT_THERE = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
 def view(*names: str) -> Callable[[Builder], Builder]:
@@ -66,9 +68,15 @@ class Views:
             self._built[name] = store.read(name)
 
     def publish(self, *names: str, prefix: str = "") -> list[str]:
-        """Register views (all by default) as temp views."""
+        """Register views as temp views; by default all whose tables are there (a drop of undeclared columns may never have come)."""
         out = []
         for name in names or VIEWS:
-            self.view(name).createOrReplaceTempView(prefix + name)
+            try:
+                built = self.view(name)
+            except AnalysisException as e:
+                if names or e.getCondition() not in NOT_THERE:
+                    raise
+                continue
+            built.createOrReplaceTempView(prefix + name)
             out.append(prefix + name)
         return out

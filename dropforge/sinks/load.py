@@ -24,13 +24,13 @@ FAULTS = "table_name string, fault string, column_name string, found long"
 
 
 def load_drop(
-    run: Commit, path: str, source: Source, day: date, header: Header | None = None, suite: list[Expectation] | None = None
+    run: Commit, path: str, source: Source, day: date, header: Header | None = None, suite: list[Expectation] | None = None, *, beside: bool = False
 ) -> tuple[dict[str, int], list[int]]:
     """Conform one drop into its table and history as part of a run.
 
     Gives the counts of ``fault_counts`` and the violations of ``suite``, all taken on the way: the drop is parsed once and
     the loaded rows are not read again. Rows of another width than the header go to the history of ``<table>_rejected``, as
-    they are in the drop; only a drop that has such rows is parsed for them again.
+    they are in the drop; only a drop that has such rows is parsed for them again. ``beside`` adds to what the day has.
     """
     raw = read_text(run.store.spark, path, source, header)
     counts = fault_counts(raw, source)
@@ -38,13 +38,13 @@ def load_drop(
     rows = conform(good_rows(raw.observe(seen, *[c.alias(f"n{i}") for i, c in enumerate(counts.values())])), source)
     if suite:
         rows = rows.observe(checked, *[c.alias(f"v{i}") for i, c in enumerate(violation_columns(rows, suite))])
-    run.load(rows, source.name, day)
+    run.load(rows, source.name, day, beside=beside)
     found = {name: seen.get[f"n{i}"] or 0 for i, name in enumerate(counts)}
     violated = [checked.get[f"v{i}"] for i in range(len(suite))] if suite else []
     rejected = source.name + REJECTED
-    if found["malformed"] or run.store.has_history(rejected):
+    if found["malformed"] or (run.store.has_history(rejected) and not beside):
         malformed = malformed_rows(raw).select(F.lit(path).alias("drop"), F.col(MALFORMED).alias("row"))
-        run.append_history(malformed, rejected, day)
+        run.append_history(malformed, rejected, day, beside=beside)
     return found, violated
 
 

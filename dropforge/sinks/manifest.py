@@ -21,8 +21,8 @@ ATTEMPTS = 20
 
 
 def empty() -> dict:
-    """``tables`` and ``history``: see ``dropforge.sinks.store``."""
-    return {"tables": {}, "history": {}}
+    """``tables``, ``history`` and ``streams``: see ``dropforge.sinks.store``."""
+    return {"tables": {}, "history": {}, "streams": {}}
 
 
 class Manifests:

@@ -4,8 +4,9 @@ Every write goes to a place of its own, and a version of the store (``dropforge.
 count. ``Store.commit()`` collects the writes of a run and publishes them together, so a run that fails or is killed
 leaves every table and its history as they were, a day that was loaded before included.
 
-A version holds ``history``: by table and day the load that counts, with its number of rows and its columns, and
-``tables``: by name the day whose load is the current table, or the write of a table that was saved by itself.
+A version holds ``history``: by table and day the loads that count, with their numbers of rows and their columns (one
+load a day, more where drops are added as they come), ``tables``: by name the day whose last load is the current table,
+or the write of a table that was saved by itself, and ``streams``: the last batch that each stream has loaded.
 
     <root>/z<table>/date_ingestion=<day>/load=<id>    a load, in the history and, for the current day, the table
     <root>/<table>/save=<id>                          a table that was saved by itself
@@ -24,6 +25,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ HISTORY_PREFIX = "z"
 INGESTED_ON = "date_ingestion"
 LOAD, SAVE = "load", "save"
 LOADS = "__loads"
+_SHAPING = Lock()
 
 
 def _id() -> str:
@@ -48,17 +51,18 @@ class Commit:
     store: Store
     changes: list[tuple[str, str, str | None, dict]] = field(default_factory=list)
 
-    def append_history(self, df: DataFrame, table: str, day: date) -> int:
-        """Add a load to the history of ``table``, in place of an earlier one of that day; gives its number of rows."""
+    def append_history(self, df: DataFrame, table: str, day: date, *, beside: bool = False) -> int:
+        """Add a load to the history of ``table``, in place of those of that day or ``beside`` them; gives its number of rows."""
         counted, load_id = Observation(), _id()
         self.store._write_load(df.observe(counted, F.count(F.lit(1)).alias("rows")), table, day, load_id)
         rows = counted.get["rows"]
-        self.changes.append(("history", table, day.isoformat(), {LOAD: load_id, "rows": rows, "columns": df.columns}))
+        entry = {LOAD: load_id, "rows": rows, "columns": df.columns}
+        self.changes.append(("added" if beside else "history", table, day.isoformat(), entry))
         return rows
 
-    def load(self, df: DataFrame, table: str, day: date) -> int:
-        """Make ``df`` the load of ``day`` and the current table. Its rows are written once, into the history."""
-        rows = self.append_history(df, table, day)
+    def load(self, df: DataFrame, table: str, day: date, *, beside: bool = False) -> int:
+        """Make ``df`` a load of ``day`` and the current table. Its rows are written once, into the history."""
+        rows = self.append_history(df, table, day, beside=beside)
         self.changes.append(("tables", table, None, {"day": day.isoformat()}))
         return rows
 
@@ -71,12 +75,17 @@ class Commit:
         if not self.store.has(source.name):
             self.save(self.store.spark.createDataFrame([], source.schema), source.name)
 
+    def passed(self, stream: str, batch: int) -> None:
+        """Keep with the loads of this run that ``stream`` has got as far as ``batch``."""
+        self.changes.append(("streams", stream, None, {"batch": batch}))
+
     def apply(self, version: dict) -> None:
-        for kind, table, day, entry in self.changes:
-            if kind == "tables":
-                version["tables"][table] = entry
-            else:
-                version["history"].setdefault(table, {})[day] = entry
+        for kind, name, day, entry in self.changes:
+            if kind in ("tables", "streams"):
+                version[kind][name] = entry
+                continue
+            days = version["history"].setdefault(name, {})
+            days[day] = [*days.get(day, []), entry] if kind == "added" else [entry]
 
 
 @dataclass(frozen=True)
@@ -98,10 +107,13 @@ class Store:
     def _loads(self, table: str) -> str:
         return self._location(HISTORY_PREFIX + table + LOADS)
 
+    @cached_property
+    def _home(self) -> str:
+        return self.root or self.spark.catalog.getDatabase(self.namespace or self.spark.catalog.currentDatabase()).locationUri
+
     @cached_property
     def _manifests(self) -> Manifests:
-        home = self.root or self.spark.catalog.getDatabase(self.namespace or self.spark.catalog.currentDatabase()).locationUri
-        return Manifests(self.spark, home)
+        return Manifests(self.spark, self._home)
 
     # ---- Reading ----
 
@@ -123,11 +135,11 @@ class Store:
             return self.spark.read.parquet(at) if self.root else self.spark.table(at)
         if SAVE in entry:
             return self.spark.read.parquet(f"{self._location(table)}/{SAVE}={entry[SAVE]}") if self.root else self.spark.table(self._location(table))
-        load_id = version["history"][table][entry["day"]][LOAD]
+        current = version["history"][table][entry["day"]][-1]
         if self.root:
-            return self.spark.read.parquet(self._load_folder(table, entry["day"], load_id))
-        own = self.spark.table(self._loads(table)).where((F.col(INGESTED_ON) == F.lit(entry["day"]).cast("date")) & (F.col(LOAD) == load_id))
-        return own.select(*[F.col(f"`{c}`") for c in version["history"][table][entry["day"]]["columns"]])
+            return self.spark.read.parquet(self._load_folder(table, entry["day"], current[LOAD]))
+        own = self.spark.table(self._loads(table)).where((F.col(INGESTED_ON) == F.lit(entry["day"]).cast("date")) & (F.col(LOAD) == current[LOAD]))
+        return own.select(*[F.col(f"`{c}`") for c in current["columns"]])
 
     def history(self, table: str, *, merge_columns: bool = True) -> DataFrame:
         """All loads of a table, with the columns of all of them.
@@ -139,10 +151,10 @@ class Store:
             raise ValueError(f"no load of {table} was published")
         if not self.root:
             # Never null; said this way, the days a reader asks for are the first thing partitions are pruned by.
-            counts = F.coalesce(F.col(LOAD), F.lit("")).isin([e[LOAD] for e in days.values()])
+            counts = F.coalesce(F.col(LOAD), F.lit("")).isin([e[LOAD] for loads in days.values() for e in loads])
             return self.spark.table(self._loads(table)).where(counts).drop(LOAD)
         reader = self.spark.read.option("mergeSchema", merge_columns).option("basePath", self._location(HISTORY_PREFIX + table))
-        return reader.parquet(*[self._load_folder(table, day, e[LOAD]) for day, e in sorted(days.items())]).drop(LOAD)
+        return reader.parquet(*[self._load_folder(table, day, e[LOAD]) for day, loads in sorted(days.items()) for e in loads]).drop(LOAD)
 
     def has(self, table: str) -> bool:
         return table in self.version()["tables"] or self._foreign(table)
@@ -161,21 +173,27 @@ class Store:
         return table in self.version()["history"]
 
     def load_counts(self) -> DataFrame:
-        """``table_name, date_ingestion, row_count`` of every load that counts, without opening a file."""
-        rows = [(t, date.fromisoformat(d), e["rows"]) for t, days in self.version()["history"].items() for d, e in days.items()]
+        """``table_name, date_ingestion, row_count`` of every day in the history, without opening a file."""
+        rows = [
+            (t, date.fromisoformat(d), sum(e["rows"] for e in loads)) for t, days in self.version()["history"].items() for d, loads in days.items()
+        ]
         return self.spark.createDataFrame(rows, f"table_name string, {INGESTED_ON} date, row_count long")
 
     # ---- Writing ----
 
+    def begin(self) -> Commit:
+        """Writes that nobody publishes yet; ``commit`` takes over their ``changes``."""
+        return Commit(self)
+
     @contextmanager
     def commit(self) -> Iterator[Commit]:
         """Writes that are published together, if nothing fails until the end of the block."""
-        run = Commit(self)
+        run = self.begin()
         yield run
         if run.changes:
             version = self._manifests.publish(run.apply)
             if not self.root:
-                self._show(version, dict.fromkeys(t for _, t, _, _ in run.changes))
+                self._show(version, dict.fromkeys(name for kind, name, _, _ in run.changes if kind != "streams"))
 
     def declare(self, source: Source) -> None:
         """Create the table of a source if it is not there yet."""
@@ -221,7 +239,7 @@ class Store:
         if not self.root:
             raise ValueError("only folders are cleaned; drop partitions of a catalog table with SQL")
         versions = [self._manifests.read(n) for n in self._manifests.numbers()]
-        named = {self._load_folder(t, d, e[LOAD]) for v in versions for t, days in v["history"].items() for d, e in days.items()}
+        named = {self._load_folder(t, d, e[LOAD]) for v in versions for t, days in v["history"].items() for d, loads in days.items() for e in loads}
         named |= {f"{self._location(t)}/{SAVE}={e[SAVE]}" for v in versions for t, e in v["tables"].items() if SAVE in e}
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         fs, gone = self._manifests._fs, []
@@ -242,21 +260,20 @@ class Store:
             df.write.parquet(self._load_folder(table, day.isoformat(), load_id))
             return
         at = self._loads(table)
-        if self.spark.catalog.tableExists(at):
+        with _SHAPING:  # several loads of one table may be under way
+            if not self.spark.catalog.tableExists(at):
+                empty = self.spark.createDataFrame([], df.schema).withColumns({INGESTED_ON: F.lit(day).cast("date"), LOAD: F.lit(load_id)})
+                empty.write.format("parquet").partitionBy(INGESTED_ON, LOAD).saveAsTable(at)
             known = {f.name.lower(): f for f in self.spark.table(at).schema if f.name not in (INGESTED_ON, LOAD)}
             new = [f for f in df.schema if f.name.lower() not in known]
             if new:
                 self.spark.sql(f"ALTER TABLE {at} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-            own = {c.lower() for c in df.columns}
-            columns = [F.col(f"`{f.name}`") if n in own else F.lit(None).cast(f.dataType).alias(f.name) for n, f in known.items()]
-            # A partition of its own: nothing that counts is overwritten.
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {at} PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}', {LOAD} = '{load_id}') SELECT * FROM {{load}}",
-                load=df.select(*columns, *[F.col(f"`{f.name}`") for f in new]),
-            )
-        else:
-            placed = df.withColumns({INGESTED_ON: F.lit(day).cast("date"), LOAD: F.lit(load_id)})
-            placed.write.format("parquet").partitionBy(INGESTED_ON, LOAD).saveAsTable(at)
+                known |= {f.name.lower(): f for f in new}
+        # The files of a partition of its own, then the partition: nothing that counts is touched, and loads don't meet.
+        kinds = [F.col(f"`{c}`").cast(known[c.lower()].dataType).alias(known[c.lower()].name) for c in df.columns]
+        part = f"{INGESTED_ON}={day.isoformat()}/{LOAD}={load_id}"
+        df.select(*kinds).write.parquet(f"{self._home.rstrip('/')}/{(HISTORY_PREFIX + table + LOADS).lower()}/{part}")
+        self.spark.sql(f"ALTER TABLE {at} ADD PARTITION ({INGESTED_ON} = DATE '{day.isoformat()}', {LOAD} = '{load_id}')")
 
     def _write_table(self, df: DataFrame, table: str, load_id: str) -> dict:
         at = self._location(table)
@@ -278,13 +295,12 @@ class Store:
             days = version["history"].get(table)
             if days is None:
                 continue
-            own = [c for c in self.spark.table(self._loads(table)).columns if c not in (INGESTED_ON, LOAD)]
-            names = ", ".join(f"`{c}`" for c in own)
-            loads = ", ".join(f"'{e[LOAD]}'" for e in days.values())
+            names = ", ".join(f"`{c}`" for c in self.spark.table(self._loads(table)).columns if c not in (INGESTED_ON, LOAD))
+            loads = ", ".join(f"'{e[LOAD]}'" for own in days.values() for e in own)
             self._view(HISTORY_PREFIX + table, f"SELECT {names}, {INGESTED_ON} FROM {self._loads(table)} WHERE {LOAD} IN ({loads})")
             entry = version["tables"].get(table, {})
             if "day" in entry:
-                current = days[entry["day"]]
+                current = days[entry["day"]][-1]
                 names = ", ".join(f"`{c}`" for c in current["columns"])
                 where = f"{INGESTED_ON} = DATE '{entry['day']}' AND {LOAD} = '{current[LOAD]}'"
                 self._view(table, f"SELECT {names} FROM {self._loads(table)} WHERE {where}")

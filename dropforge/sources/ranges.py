@@ -208,12 +208,16 @@ def _finder(states: States, sep: str, quote: str, fragments: bool = False):
                 yield rows(HEAD if headless else WHOLE, pa.array(["\n".join(pending)], pa.string()))
             headless = False
             sizes = np.diff(first)
-            if (sizes == 1).all():
-                records = lines.slice(int(first[0]), len(sizes)).cast(pa.string())
+            long = np.flatnonzero(sizes > 1)
+            if header or not len(long):
+                # Header rows are told by their place, so here the order stays.
+                every = lines.to_pylist() if len(long) else None
+                joined = every and ["\n".join(every[a : a + size]) for a, size in zip(first[:-1], sizes, strict=True)]
+                yield rows(WHOLE, pa.array(joined, pa.string()) if joined else lines.slice(int(first[0]), len(sizes)).cast(pa.string()))
             else:
-                every = lines.to_pylist()
-                records = pa.array(["\n".join(every[a : a + size]) for a, size in zip(first[:-1], sizes, strict=True)], pa.string())
-            yield rows(WHOLE, records)
+                yield rows(WHOLE, lines.take(pa.array(first[:-1][sizes == 1])).cast(pa.string()))
+                parts = [lines.slice(int(first[k]), int(sizes[k])).to_pylist() for k in long]
+                yield rows(WHOLE, pa.array(["\n".join(p) for p in parts], pa.string()))
             pending = lines.slice(int(first[-1])).to_pylist()  # the last record may go on
         yield from close()
 

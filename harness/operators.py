@@ -30,7 +30,7 @@ from dropforge.sinks.publish import copy_views, export_csv, export_views, row_co
 from dropforge.sinks.store import Store
 from dropforge.sources.headers import first_line, guess_delimiter
 from dropforge.sources.landing import newest_per_source
-from dropforge.sources.reader import read_source
+from dropforge.sources.reader import MALFORMED, good_rows, read_by_ranges, read_source
 from dropforge.sources.schemas import SOURCES, Source
 from harness.compare import TABLES
 from harness.standins import reader, stand_in, stand_in_sql, table, with_sources
@@ -531,10 +531,11 @@ def _faulty_drop(spark, sf_dir, landing):
     line = f"""CASE c_custkey % 10 WHEN 0 THEN {number} || ';short' WHEN 1 THEN {number} || ';a;3;yes;more'
       WHEN 2 THEN {number} || ';"two' || CHR(10) || 'lines";3;yes' WHEN 3 THEN {number} || ';a;7d;yes'
       WHEN 4 THEN {number} || ';a;3;perhaps' WHEN 5 THEN {number} || ';' || c_name || ';3;no' ELSE {number} || ';"b;c";4;no' END"""
-    lines = table(spark, sf_dir, "customer").selectExpr("1 AS place", f"{line} AS value")
-    header = spark.createDataFrame([(0, "numero;libelle;pays;actif")], lines.schema)
-    # One file with one header, as such drops come.
-    header.unionByName(lines).coalesce(1).sortWithinPartitions("place").select("value").write.text(f"{landing}/IN/clients.csv")
+    # A folder of part files, each with the header above its first line.
+    first = "(monotonically_increasing_id() & 8589934591) = 0"
+    head = f"IF({first}, CONCAT('numero;libelle;pays;actif', CHR(10)), '')"
+    lines = table(spark, sf_dir, "customer").selectExpr(f"{line} AS line").repartition(8)
+    lines.selectExpr(f"CONCAT({head}, line) AS value").write.text(f"{landing}/IN/clients.csv")
 
 
 @check("""WITH c AS (SELECT c_custkey AS k, c_custkey % 10 AS m FROM customer)
@@ -563,6 +564,72 @@ def load_with_faults(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+_SUITE = [
+    Expectation("bool", "actif"), Expectation("column", "Numero"), Expectation("column", "absent"), Expectation("type", "numero", "INTEGER"),
+    Expectation("type", "libelle", "BOOLEAN"), Expectation("date_format", "libelle"),
+]
+
+
+@check("""WITH c AS (SELECT c_custkey % 10 AS m FROM customer WHERE c_custkey % 10 > 1)
+SELECT * FROM (SELECT 'expectation:column' AS fault, 'absent' AS column_name, COUNT(*) AS found FROM c
+  UNION ALL SELECT 'expectation:type', 'libelle', COUNT(*) FROM c
+  UNION ALL SELECT 'expectation:date_format', 'libelle', COUNT(*) FROM c) WHERE found > 0""")
+def load_with_expectations(spark, sf_dir):
+    """What a suite counts while the rows are written; values that could not be cast are faults of the load instead."""
+    landing, store = scratch(spark, "landing"), Store(spark, root=scratch(spark, "store"))
+    _faulty_drop(spark, sf_dir, landing)
+    faults = load_all(spark, landing, store, today=date(2025, 8, 15), sources={"clients": _FAULTY}, suites={"clients": _SUITE})[2]
+    return faults.where(F.col("fault").startswith("expectation")).select("fault", "column_name", "found")
+
+
+@check("""SELECT 'customer' AS table_name, DATE '2025-08-14' AS date_ingestion, COUNT(*) AS row_count FROM customer
+  UNION ALL SELECT 'customer', DATE '2025-08-15', COUNT(*) FROM customer WHERE c_nationkey < 12
+  UNION ALL SELECT 'supplier', DATE '2025-08-15', COUNT(*) FROM supplier""")
+def load_counts(spark, sf_dir):
+    """Rows of every load that counts, from the versions of the store alone."""
+    store = Store(spark, root=scratch(spark, "store"))
+    customers = table(spark, sf_dir, "customer")
+    for day in (14, 15):
+        store.load(customers, "customer", date(2025, 8, day))
+    with store.commit() as run:
+        run.load(customers.where("c_nationkey < 12"), "customer", date(2025, 8, 15))
+        run.load(table(spark, sf_dir, "supplier"), "supplier", date(2025, 8, 15))
+    return store.load_counts()
+
+
+@check("""SELECT DATE '2025-08-14' AS date_ingestion, c_custkey, c_name FROM customer
+  UNION ALL SELECT DATE '2025-08-15', c_custkey, c_name FROM customer WHERE c_nationkey < 12""")
+def reload_that_fails(spark, sf_dir):
+    """A day loaded again by a job that stops half way, in a run that had loaded another table: all is as before."""
+    store = Store(spark, root=scratch(spark, "store"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    store.load(customers, "customer", date(2025, 8, 14))
+    store.load(table(spark, sf_dir, "customer").where("c_nationkey < 12").select("c_custkey", "c_name"), "customer", date(2025, 8, 15))
+    broken = customers.withColumn("c_name", F.when(F.col("c_custkey") % 100 == 50, F.raise_error("stopped").cast("string")).otherwise(F.col("c_name")))
+    try:
+        with store.commit() as run:
+            run.load(customers.limit(1), "other", date(2025, 8, 15))
+            run.load(broken, "customer", date(2025, 8, 15))
+    except Exception as e:
+        if "stopped" not in str(e):
+            raise
+    if store.has("other"):
+        raise RuntimeError("a run that failed was published")
+    return store.history("customer").select("date_ingestion", "c_custkey", "c_name")
+
+
+@check("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, LENGTH(COALESCE(text, '')) AS chars, MD5(COALESCE(text, '')) AS digest FROM documents""")
+def quoted_newlines_by_ranges(spark, sf_dir):
+    """Documents written as drops with quoted newlines and read back by ranges, each file by several tasks."""
+    path = scratch(spark, "ranges")
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
+    documents.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("doc_id", "text", "lang", MALFORMED)])
+    found = good_rows(read_by_ranges(spark, path, ";", schema))
+    text_ = F.coalesce("text", F.lit(""))
+    return found.select("doc_id", "lang", F.length(text_).cast("long").alias("chars"), F.md5(text_).alias("digest"))
+
+
 @check(with_sources("v_region", "SELECT DISTINCT reg, ncc, libelle FROM v_region"))
 def load_run_partial(spark, sf_dir):
     """A load in which one drop of two is missing: its table is there, empty, and the regions come from the other."""

@@ -106,3 +106,35 @@ def test_bad_rows_are_rejected_and_a_clean_reload_clears_them(spark, tmp_path):
     load_all(spark, str(tmp_path / "landing"), store, today="2025-08-15", sources=one)
     assert store.history("v_region_rejected").isEmpty() and store.read("v_region").count() == 1
     assert Store(spark, root=str(tmp_path / "store")).read("v_region").count() == 1
+
+
+def test_expectations_are_counted_in_the_scan_that_loads(spark, landing, tmp_path):
+    """One plan writes the rows, counts the faults and the violations; the loaded table is not read again."""
+    from dropforge.sinks.store import Store as Home
+
+    store, plans = Home(spark, root=str(tmp_path / "store")), []
+    write = Home._write_load
+
+    def spy(self, df, *where):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *where)
+
+    reads = []
+    Home._write_load, read, Home._read = spy, Home._read, lambda self, version, table: reads.append(table) or read(self, version, table)
+    try:
+        suites = {"v_region": [Expectation("bool", "cheflieu"), Expectation("type", "reg", "DATE")]}
+        _, _, faults = load_all(spark, str(landing), store, today="2025-08-15", sources={"v_region": SOURCES["v_region"]}, suites=suites)
+    finally:
+        Home._write_load, Home._read = write, read
+    assert len(plans) == 1 and plans[0].count("CollectMetrics") == 3 and plans[0].count("FileScan") == 1 and reads == []
+    assert {(r.fault, r.column_name, r.found) for r in faults.collect()} >= {("expectation:bool", "cheflieu", 3), ("expectation:type", "reg", 3)}
+
+
+def test_views_are_published_without_the_drop_of_undeclared_columns(spark, landing, tmp_path):
+    store = Store(spark, root=str(tmp_path / "store"))
+    (landing / SOURCES["sa_tdb_esms"].folder / f"{SOURCES['sa_tdb_esms'].keyword}_20250815.csv").unlink()
+    views, _ = run(spark, str(landing), store, today="2025-08-15")
+    shown = views.publish(prefix="p_")
+    assert set(VIEWS) - {n[2:] for n in shown} == {"staging__matrice_tdb_esms"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        views.publish("staging__matrice_tdb_esms")

@@ -175,7 +175,7 @@ def test_a_run_is_seen_as_a_whole(spark, store):
     with store.commit() as run:
         run.load(frame(spark, (1, "a")), "t", date(2025, 1, 1))
         run.load(frame(spark, (2, "b")), "u", date(2025, 1, 1))
-        assert store.version() == {"tables": {}, "history": {}} and not store.has("t")
+        assert store.version() == {"tables": {}, "history": {}, "streams": {}} and not store.has("t")
     earlier = store.snapshot()
     with store.commit() as run:
         run.load(frame(spark, (3, "c"), (4, "d")), "t", date(2025, 1, 2))
