@@ -6,12 +6,18 @@ from pyspark.sql import functions as F
 
 from dropforge.functions.text import pad_if_length
 from dropforge.operators.profile import input_profile
+from dropforge.operators.profile_state import Profile
 from dropforge.plans.registry import view
 
 _MISSION_COUNTS = {
     "key_count": "nombre_distinct_id_missions",
     "length_kinds": "nombre_de_longueurs_differentes_finess",
 }
+#: Profiles to keep the state of with each load, so that one of the whole history needs no scan of it.
+KEPT = {
+    "sa_siicea_missions_real": Profile("identifiant_de_la_mission", "finess_geographique", "date_reelle_visite", **_MISSION_COUNTS),
+    "sa_sirec": Profile("numero_de_la_reclamation", "n_finess_rpps", "date_de_reception_a_l_ars", "nombre_distinct_reclamations"),
+}
 
 
 @view("staging__siicea_input_test")

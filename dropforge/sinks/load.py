@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dropforge.functions.calendar import reference_date
+from dropforge.operators.profile_state import Profile, keep_state
 from dropforge.plans.registry import Views
 from dropforge.quality.drops import header_report, issues, require_valid
 from dropforge.quality.expectations import Expectation, violation_columns, violation_counts
@@ -59,6 +60,7 @@ def load_all(
     on_invalid: str = "stop",
     most_malformed: float | None = None,
     suites: dict[str, list[Expectation]] | None = None,
+    profiles: dict[str, Profile] | None = None,
     at_once: int = 4,
 ) -> tuple[Views, DataFrame, DataFrame]:
     """Load the newest drop of every source; gives the views over the store, the row counts and the faults.
@@ -67,7 +69,7 @@ def load_all(
     and the views stand on the version that it published. All declared tables are there after it, empty where no drop came.
     ``on_invalid="skip"`` loads the other drops when one has another header than declared. ``most_malformed`` stops the run
     if a larger share of a drop's rows was rejected. ``suites`` are expectations to count violations of, by table, as the
-    rows are written. ``at_once`` drops are loaded side by side, so that small ones do not leave the cluster waiting.
+    rows are written. ``profiles`` are input profiles to keep the state of, by table (``profile_of_history``). ``at_once`` drops are loaded side by side, so that small ones do not leave the cluster waiting.
 
     Faults are rows ``table_name, fault, column_name, found``: ``malformed`` rows, ``failed_cast``,
     ``unmapped_boolean``, ``cut_text``, ``header`` (with the issue for a column) and violated expectations.
@@ -96,7 +98,10 @@ def load_all(
 
         def load(drop):
             name, path = drop
-            return load_drop(run, path, sources[name], day, headers[path], suites.get(sources[name].name))
+            found = load_drop(run, path, sources[name], day, headers[path], suites.get(sources[name].name))
+            if name in (profiles or {}):
+                keep_state(run, name, day, profiles[name])
+            return found
 
         def declare(source):
             if source.fields is not None and source.name not in drops:

@@ -75,6 +75,11 @@ class Commit:
         if not self.store.has(source.name):
             self.save(self.store.spark.createDataFrame([], source.schema), source.name)
 
+    def written(self, table: str, day: date) -> DataFrame:
+        """The load of ``table`` for ``day`` that this run has written last, published or not."""
+        own = [e for kind, name, on, e in self.changes if kind in ("history", "added") and (name, on) == (table, day.isoformat())]
+        return self.store._load_files(table, day.isoformat(), own[-1])
+
     def passed(self, stream: str, batch: int) -> None:
         """Keep with the loads of this run that ``stream`` has got as far as ``batch``."""
         self.changes.append(("streams", stream, None, {"batch": batch}))
@@ -104,6 +109,12 @@ class Store:
     def _load_folder(self, table: str, day: str, load_id: str) -> str:
         return f"{self._location(HISTORY_PREFIX + table)}/{INGESTED_ON}={day}/{LOAD}={load_id}"
 
+    def _load_files(self, table: str, day: str, entry: dict) -> DataFrame:
+        if self.root:
+            return self.spark.read.parquet(self._load_folder(table, day, entry[LOAD]))
+        own = self.spark.table(self._loads(table)).where((F.col(INGESTED_ON) == F.lit(day).cast("date")) & (F.col(LOAD) == entry[LOAD]))
+        return own.select(*[F.col(f"`{c}`") for c in entry["columns"]])
+
     def _loads(self, table: str) -> str:
         return self._location(HISTORY_PREFIX + table + LOADS)
 
@@ -135,11 +146,7 @@ class Store:
             return self.spark.read.parquet(at) if self.root else self.spark.table(at)
         if SAVE in entry:
             return self.spark.read.parquet(f"{self._location(table)}/{SAVE}={entry[SAVE]}") if self.root else self.spark.table(self._location(table))
-        current = version["history"][table][entry["day"]][-1]
-        if self.root:
-            return self.spark.read.parquet(self._load_folder(table, entry["day"], current[LOAD]))
-        own = self.spark.table(self._loads(table)).where((F.col(INGESTED_ON) == F.lit(entry["day"]).cast("date")) & (F.col(LOAD) == current[LOAD]))
-        return own.select(*[F.col(f"`{c}`") for c in current["columns"]])
+        return self._load_files(table, entry["day"], version["history"][table][entry["day"]][-1])
 
     def history(self, table: str, *, merge_columns: bool = True) -> DataFrame:
         """All loads of a table, with the columns of all of them.

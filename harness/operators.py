@@ -15,7 +15,12 @@ from dropforge.functions import casts, text
 from dropforge.functions.sql import register
 from dropforge.operators.dense_index import dense_index
 from dropforge.operators.items import pipe_items
+from dropforge.operators.joins import one_row
+from dropforge.operators.profile_state import keep_state, profile_of_history
+from dropforge.operators.stable_index import COPY, ROW
 from dropforge.plans import Views
+from dropforge.plans.deaths import NUMBERS, numbered
+from dropforge.plans.profiles import KEPT
 from dropforge.quality import drops as drop_checks
 from dropforge.quality.expectations import (
     Expectation,
@@ -32,6 +37,7 @@ from dropforge.sources.headers import first_line, guess_delimiter
 from dropforge.sources.landing import newest_per_source
 from dropforge.sources.reader import MALFORMED, good_rows, read_by_ranges, read_source
 from dropforge.sources.schemas import SOURCES, Source
+from dropforge.streaming.drops import load_new_drops
 from harness.compare import TABLES
 from harness.standins import reader, stand_in, stand_in_sql, table, with_sources
 from harness.views import RUN_DATE, view_oracles
@@ -597,6 +603,72 @@ def load_counts(spark, sf_dir):
     return store.load_counts()
 
 
+_VISITS = "identifiant_de_la_mission, finess_geographique, date_reelle_visite"
+
+
+@check(with_sources("sa_siicea_missions_real", f""", every AS (SELECT {_VISITS} FROM sa_siicea_missions_real
+    UNION ALL SELECT {_VISITS} FROM sa_siicea_missions_real WHERE nombre_d_ecarts < 30
+    UNION ALL SELECT identifiant_de_la_mission || 'x', finess_geographique, date_reelle_visite FROM sa_siicea_missions_real WHERE nombre_d_ecarts > 100)
+  SELECT COUNT(*) AS nombre_de_lignes, COUNT(DISTINCT identifiant_de_la_mission) AS nombre_distinct_id_missions,
+    CAST(SUM(CASE LENGTH(finess_geographique) WHEN 8 THEN 1 ELSE 0 END) AS BIGINT) AS longueur_ko_finess,
+    CAST(SUM(CASE LENGTH(finess_geographique) WHEN 9 THEN 1 ELSE 0 END) AS BIGINT) AS longueur_ok_finess,
+    COUNT(DISTINCT LENGTH(finess_geographique)) AS nombre_de_longueurs_differentes_finess,
+    MIN(date_reelle_visite) AS date_reelle_visite_plus_ancienne, MAX(date_reelle_visite) AS date_reelle_visite_plus_recente,
+    MIN(SUBSTR(date_reelle_visite, 1, 4)) AS annee_min, MIN(SUBSTR(date_reelle_visite, 6, 2)) AS mois_min,
+    MAX(SUBSTR(date_reelle_visite, 1, 4)) AS annee_max, MAX(SUBSTR(date_reelle_visite, 6, 2)) AS mois_max FROM every"""))
+def profile_from_state(spark, sf_dir):
+    """The mission profile of a history of three days, one of them loaded twice, from the state kept with the loads."""
+    store, name = Store(spark, root=scratch(spark, "store")), "sa_siicea_missions_real"
+    missions, kept = stand_in(spark, sf_dir, name), KEPT[name]
+    again = missions.where("nombre_d_ecarts > 100").withColumn("identifiant_de_la_mission", F.concat("identifiant_de_la_mission", F.lit("x")))
+    for day, load in ((13, missions), (14, missions.where("nombre_d_ecarts < 60")), (15, again), (14, missions.where("nombre_d_ecarts < 30"))):
+        with store.commit() as run:
+            run.load(load.select(kept.key, kept.code, kept.when), name, date(2025, 8, day))
+            keep_state(run, name, date(2025, 8, day), kept)
+    return profile_of_history(store, name, kept)
+
+
+@check(with_sources("sa_insern", """SELECT COUNT(*) AS certificates, COUNT(*) AS numbers, 1 AS least, COUNT(*) AS most, 0 AS moved FROM sa_insern"""))
+def numbers_that_stay(spark, sf_dir):
+    """Certificates numbered after a first load of some and a second one of all: dense, and none of the first has moved."""
+    store = Store(spark, root=scratch(spark, "store"))
+    every = stand_in(spark, sf_dir, "sa_insern").withColumn("_part", F.xxhash64("annee", "mois", "jour", "commune_code") % 3)
+    views = {k: Views(lambda _, df=df: df.drop("_part"), RUN_DATE, lenient=True) for k, df in (("first", every.where("_part = 0")), ("all", every))}
+    numbered(views["first"], store)
+    before = store.read(NUMBERS).select(ROW, COPY, F.col("index").alias("had"))
+    after = numbered(views["all"], store).select(F.col("index").cast("long").alias("number"))
+    moved = before.join(store.read(NUMBERS), [ROW, COPY], "left").agg(F.sum(F.coalesce((F.col("had") != F.col("index")).cast("int"), F.lit(1))).alias("moved"))
+    return one_row(
+        after.agg(
+            F.count(F.lit(1)).alias("certificates"), F.count_distinct("number").alias("numbers"),
+            F.min("number").cast("int").alias("least"), F.max("number").alias("most"),
+        ),
+        moved.select(F.coalesce("moved", F.lit(0)).cast("int").alias("moved")),
+    )
+
+
+@check("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CAST(DATE '2025-08-14' + CAST(o_orderkey % 3 AS INT) AS DATE) AS VARCHAR) AS ingested FROM orders""")
+def drops_as_they_come(spark, sf_dir):
+    """Orders in three drops; the stream is called after the first one and after the others, then with nothing new."""
+    landing, checkpoint = scratch(spark, "landing"), scratch(spark, "checkpoint")
+    store = Store(spark, root=scratch(spark, "store"))
+    source = Source("orders", "orders", sep=";", fields=(T.StructField("o_orderkey", T.StringType()), T.StructField("part", T.IntegerType())))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), (F.col("o_orderkey") % 3).cast("int").alias("part"))
+    path, fs = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.org.apache.hadoop.fs.Path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    for k in range(3):
+        parts = scratch(spark, "parts")
+        orders.where(F.col("part") == k).write.option("header", True).option("sep", ";").csv(parts)
+        for n, status in enumerate(fs.globStatus(path(f"{parts}/part-*.csv"))):  # each file with a header is a drop
+            fs.mkdirs(path(landing))
+            at = path(f"{landing}/orders_{k}_{n}.csv")
+            fs.rename(status.getPath(), at)
+            fs.setTimes(at, 1755172800000 + 86_400_000 * k + 1000 * n, -1)
+        if k != 1:
+            load_new_drops(store, landing, source, checkpoint)
+    load_new_drops(store, landing, source, checkpoint)
+    return store.history("orders").select("o_orderkey", F.col("date_ingestion").cast("string").alias("ingested"))
+
+
 @check("""SELECT DATE '2025-08-14' AS date_ingestion, c_custkey, c_name FROM customer
   UNION ALL SELECT DATE '2025-08-15', c_custkey, c_name FROM customer WHERE c_nationkey < 12""")
 def reload_that_fails(spark, sf_dir):

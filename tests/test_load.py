@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropforge.plans import VIEWS
@@ -138,3 +139,24 @@ def test_views_are_published_without_the_drop_of_undeclared_columns(spark, landi
     assert set(VIEWS) - {n[2:] for n in shown} == {"staging__matrice_tdb_esms"}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         views.publish("staging__matrice_tdb_esms")
+
+
+def test_profiles_of_a_history_from_kept_state(spark, landing, tmp_path):
+    from dropforge.operators.profile import input_profile
+    from dropforge.operators.profile_state import KEYS, profile_of_history
+    from dropforge.plans.profiles import KEPT
+
+    store = Store(spark, root=str(tmp_path / "store"))
+    two = {n: SOURCES[n] for n in KEPT}
+    real = landing / SOURCES["sa_siicea_missions_real"].folder / f"{SOURCES['sa_siicea_missions_real'].keyword}_20250815.csv"
+    lines = real.read_text().splitlines()
+    for day, kept in (("2025-08-13", lines), ("2025-08-14", lines[:2]), ("2025-08-15", lines[:3]), ("2025-08-14", [*lines, lines[1].replace("0", "7")])):
+        real.write_text("\n".join(kept) + "\n")
+        load_all(spark, str(landing), store, today=day, sources=two, profiles=KEPT)
+    for name, p in KEPT.items():
+        history = store.history(name).withColumn(p.code, F.col(p.code).cast("string"))
+        want = input_profile(history, key=p.key, code=p.code, when=p.when, key_count=p.key_count, length_kinds=p.length_kinds)
+        assert profile_of_history(store, name, p).collect() == want.collect()
+    assert store.history("sa_siicea_missions_real" + KEYS).where("date_ingestion = '2025-08-14'").count() == 4
+    plan = profile_of_history(store, "sa_sirec", KEPT["sa_sirec"])._jdf.queryExecution().executedPlan().toString()
+    assert "zsa_sirec/" not in plan
