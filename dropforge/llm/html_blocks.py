@@ -128,6 +128,14 @@ class _Reader(HTMLParser):
         if any(t == "a" for t, _ in self.open[-4:]):
             self.now.linked += len(data)
 
+    def parse_marked_section(self, i, report=1):
+        """A section of no known kind is a comment up to the next ``>``, as browsers have it."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else len(self.rawdata)
+
 
 def blocks_of(html: str | None) -> list[Block]:
     """The blocks of a page that hold text, in page order."""

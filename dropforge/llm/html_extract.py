@@ -252,10 +252,11 @@ def training_pages(pages: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
-    count = pages.count()
-    share = min(1.0, sample_pages / max(1, count))
-    some = pages.where(F.pmod(F.xxhash64("html", F.lit(23)), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
-    found = sorted(r[0] for r in some.select("html").where("html IS NOT NULL").limit(4 * sample_pages).collect())
+    # Different pages, those of the smallest digests: copies are neither counted nor collected.
+    digest = F.xxhash64("html", F.lit(23))
+    held = pages.where("html IS NOT NULL")
+    least = [r[0] for r in held.select(digest.alias("d")).distinct().orderBy("d").limit(sample_pages).collect()]
+    found = sorted(r[0] for r in held.where(digest.isin(least)).groupBy(digest.alias("d")).agg(F.min("html").alias("html")).select("html").collect())
     return Labeller().fit(*training_pages(found))
 
 

@@ -156,3 +156,19 @@ def test_pipeline(spark):
     left = rows.collect()
     assert left and all(r.copies in (1, 2, 3) and r.doc_id != -2 for r in left)
     assert rows.columns == [*docs.columns, "copies", "taken"]
+
+
+@pytest.mark.parametrize("odd", ["<![ if x]>", "<![1]>", "<![foo[bar]]>", "<![", "<![ if", "<![CDATA[a]]>", "<![endif]-->", "<!x", "<?php"])
+def test_odd_declarations_are_no_failure(odd):
+    found = [b.text for b in blocks_of(f"<p>before</p>{odd}<p>after</p>")]
+    assert found[0] == "before"
+
+
+def test_pages_that_are_copies_still_train(spark):
+    layouts = html_extract.Layouts()
+    texts = [f"Sentence {k} of the article, with commas, and words enough to be one." for k in range(12)]
+    own = [layouts.page([layouts.pick(*texts) for _ in range(6)], texts) for _ in range(3)]
+    schema = "page_id long, url string, html string"
+    alone = {r.url: r.text for r in html_extract.extract(spark.createDataFrame([(k, f"u{k}", own[k]) for k in range(3)], schema)).collect()}
+    copies = html_extract.extract(spark.createDataFrame([(k, f"u{k % 3}", own[k % 3]) for k in range(9000)], schema))
+    assert {(r.url, r.text) for r in copies.select("url", "text").distinct().collect()} == set(alone.items()) and any(alone.values())
