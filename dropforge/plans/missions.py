@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dropforge.functions.calendar import first_day_years_ago, yesterday
 from dropforge.functions.text import day_first_to_iso, pad_if_length, visit_timestamp
+from dropforge.operators.factored import Factored
 from dropforge.plans.constants import (
     CARE_SECTORS,
     CLOSED_STATUSES,
@@ -157,16 +158,15 @@ def targets(views):
     )
 
 
-@view("staging__matrice_siicea_cibles")
-def targets_with_missions(views):
-    """Targets beside their done missions in the window, many to many.
+_VISIT = ("date_reelle_visite", "statut_de_la_mission", "secteur_d_intervention", "type_de_mission")
 
-    The filters on the mission side make the left join an inner one, so they go below the join and both sides
-    may be split where a facility code is hot. Blank codes are equal to each other, as they have always been: the
-    number of their rows is that of blank targets times blank missions. ``blank_codes=False`` leaves them out.
+
+def targets_and_missions(views) -> Factored:
+    """Targets and done missions in the window by facility code, not joined yet.
+
+    Blank codes equal each other, as they have always: ``counts`` tells how many rows they would make.
     """
     targets = views.view("staging__sa_siicea_cibles")
-    picked = ("date_reelle_visite", "statut_de_la_mission", "secteur_d_intervention", "type_de_mission")
     missions = (
         views.view(REAL)
         .where(
@@ -175,8 +175,21 @@ def targets_with_missions(views):
             & F.col("secteur_d_intervention").isin(*CARE_SECTORS)
             & type_kept()
         )
-        .select(F.col("finess_geographique").alias("_finess"), *picked)
+        .select(F.col("finess_geographique").alias("_finess"), *_VISIT)
     )
     if not views.blank_codes:
         targets, missions = targets.where("finess <> ''"), missions.where("_finess <> ''")
-    return targets.join(missions, targets["finess"] == missions["_finess"]).select(*targets.columns, *picked)
+    return Factored(targets, missions, "finess", "_finess")
+
+
+@view("staging__matrice_siicea_cibles")
+def targets_with_missions(views):
+    """Targets beside their done missions in the window, many to many.
+
+    The filters on the mission side make the left join an inner one, so they go below the join and both sides
+    may be split where a facility code is hot. Blank codes are equal to each other, as they have always been: the
+    number of their rows is that of blank targets times blank missions. ``blank_codes=False`` leaves them out;
+    ``targets_and_missions`` gives the two sides with their counts instead.
+    """
+    sides = targets_and_missions(views)
+    return sides.expand().select(*sides.left.columns, *_VISIT)

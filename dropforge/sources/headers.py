@@ -67,6 +67,19 @@ def reduce_name(name: str, size: int = MAX_NAME, *, byte_aware: bool = False) ->
     return "".join(kept)
 
 
+def reduce_text(text: Column | str, size: int = MAX_NAME) -> Column:
+    """``reduce_name(byte_aware=True)`` of a column."""
+    # No more than that many characters can be kept.
+    units = F.regexp_extract_all(F.left(as_col(text), F.lit(2 * size)), F.lit("(?s)(''|.)"), 1)
+
+    def add(held, unit):
+        width = F.when(unit.isin(*TWO_BYTE), 2).otherwise(1)
+        more = F.struct(F.concat(held["text"], unit).alias("text"), (held["used"] + width).alias("used"))
+        return F.when(held["used"] >= size, held).otherwise(more)
+
+    return F.aggregate(units, F.struct(F.lit("").alias("text"), F.lit(0).alias("used")), add)["text"]
+
+
 def first_line(text: Column | str) -> Column:
     """First line of a text that is not blank."""
     # Anchored to line starts, so that long blank lines are looked at once.

@@ -14,12 +14,14 @@ from dropforge.functions import calendar as cal
 from dropforge.functions import casts, text
 from dropforge.functions.sql import register
 from dropforge.operators.dense_index import dense_index
+from dropforge.operators.factored import Factored
 from dropforge.operators.items import pipe_items
 from dropforge.operators.joins import one_row
 from dropforge.operators.profile_state import keep_state, profile_of_history
 from dropforge.operators.stable_index import COPY, ROW
 from dropforge.plans import Views
 from dropforge.plans.deaths import NUMBERS, numbered
+from dropforge.plans.missions import targets_and_missions
 from dropforge.plans.profiles import KEPT
 from dropforge.quality import drops as drop_checks
 from dropforge.quality.expectations import (
@@ -33,7 +35,7 @@ from dropforge.session import scratch
 from dropforge.sinks.load import load_all, run
 from dropforge.sinks.publish import copy_views, export_csv, export_views, row_counts
 from dropforge.sinks.store import Store
-from dropforge.sources.headers import first_line, guess_delimiter
+from dropforge.sources.headers import first_line, guess_delimiter, reduce_text
 from dropforge.sources.landing import newest_per_source
 from dropforge.sources.reader import MALFORMED, good_rows, read_by_ranges, read_source
 from dropforge.sources.schemas import SOURCES, Source
@@ -432,6 +434,17 @@ def header_summary(spark, sf_dir):
     return drop_checks.summary(drop_checks.check_headers(_header_rows(spark, sf_dir)))
 
 
+@check("""WITH u AS (SELECT doc_id, UNNEST(l) AS unit, UNNEST(RANGE(LEN(l))) AS p FROM (
+    SELECT doc_id, REGEXP_EXTRACT_ALL(LEFT(text, 126), '(?s)''''|.') AS l FROM documents)),
+  s AS (SELECT *, COALESCE(SUM(CASE WHEN unit IN ('à', 'â', 'ä', 'é', 'è', 'ê', 'ë', 'î', 'ï', 'ô', 'ö', 'ù', 'û', 'ü', 'ç') THEN 2 ELSE 1 END)
+    OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM u)
+SELECT d.doc_id, COALESCE(STRING_AGG(unit, '' ORDER BY p), CASE WHEN ANY_VALUE(d.text) IS NOT NULL THEN '' END) AS name
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id AND used < 63 GROUP BY d.doc_id""")
+def reduced_names(spark, sf_dir):
+    """Whole texts cut to the length of a catalog's name."""
+    return table(spark, sf_dir, "documents").select("doc_id", reduce_text("text").alias("name"))
+
+
 # ---- Landing, loading, publishing ----
 
 _LISTED = """(SELECT ts, CASE WHEN event_id % 4 = 0 THEN 'OPS' ELSE 'WEB' END AS folder,
@@ -702,6 +715,25 @@ def quoted_newlines_by_ranges(spark, sf_dir):
     return found.select("doc_id", "lang", F.length(text_).cast("long").alias("chars"), F.md5(text_).alias("digest"))
 
 
+_PAIRS = view_oracles()["staging__matrice_siicea_cibles"]
+
+
+@check(f"SELECT finess AS key, COUNT(*) AS pairs FROM ({_PAIRS}) GROUP BY finess")
+def targets_missions_by_code(spark, sf_dir):
+    """How many rows the join of targets and missions has by code, counted without making one."""
+    return targets_and_missions(Views(reader(spark, sf_dir), RUN_DATE)).counts().select("key", "pairs")
+
+
+@check(_PAIRS)
+def targets_missions_from_sides(spark, sf_dir):
+    """The join expanded from its two sides, kept as tables."""
+    sides = targets_and_missions(Views(reader(spark, sf_dir), RUN_DATE))
+    store = Store(spark, root=scratch(spark, "sides"))
+    sides.save(store, "by_code")
+    kept = Factored.read(store, "by_code", "finess", "_finess")
+    return kept.expand().drop("_finess")
+
+
 @check(with_sources("v_region", "SELECT DISTINCT reg, ncc, libelle FROM v_region"))
 def load_run_partial(spark, sf_dir):
     """A load in which one drop of two is missing: its table is there, empty, and the regions come from the other."""

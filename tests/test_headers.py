@@ -60,3 +60,11 @@ def test_first_line(evaluate):
     blank = " " * 50_000
     got = evaluate(first_line, "a\nb", "\n \t\n\ta;b\nc", "\r\nx\r\ny", "", "  \n ", blank + "\n" + blank + "z")
     assert got == ["a", "\ta;b", "x", "", "", blank + "z"]
+
+
+def test_reduced_columns_are_reduced_names(evaluate):
+    from dropforge.sources.headers import reduce_text
+
+    names = ["", "plain", "é" * 40, "a''b" * 30, "'" * 130, "x" * 62 + "éé", "''" * 80, "ligne\nsuite " * 9, None, "Éœ" * 50]
+    assert evaluate(reduce_text, *names) == [None if n is None else reduce_name(n, byte_aware=True) for n in names]
+    assert evaluate(lambda c: reduce_text(c, 5), *names) == [None if n is None else reduce_name(n, 5, byte_aware=True) for n in names]
