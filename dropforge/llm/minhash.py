@@ -261,7 +261,8 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = written(members.join(popularity, "id").select("band", "hash", "id", "popular").withColumn("part", F.col("id")), "minhash-members")
 
     inside = signed.select(F.col("node").alias("id"), F.col("row.text").alias("text"), "bands")
-    texts = written(inside.join(members.select("id").distinct(), "id"), "minhash-texts")
+    # The texts to look at grow with the corpus: their numbers are never sent to all tasks.
+    texts = written(inside.join(members.select("id").distinct().hint("merge"), "id"), "minhash-texts")
     links, used, parts = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         state = members
