@@ -28,17 +28,35 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 def training_sample(labels: DataFrame, label: str, parts: int, kept_out: int, most_rows: int) -> DataFrame:
-    """``_label_id, _label`` of about ``most_rows`` labelled rows at most outside the fold that is kept out.
+    """``_label_id, _label`` of about ``most_rows`` labelled ids at most outside the fold that is kept out.
 
-    Which rows depends on a hash of the id only. A row without id or label teaches nothing; of several labels of one id
-    the largest counts. The result has a bounded size whatever the table, so it can be sent to all tasks.
+    Which ids depends on hashes of the id only, as finely as a double can tell shares apart. A row without id or label
+    teaches nothing; of several labels of one id the largest counts. The result has a bounded size whatever the table,
+    so it can be sent to all tasks.
     """
     rows = labels.select(F.col("doc_id").alias("_label_id"), F.col(label).cast("double").alias("_label"))
     rows = rows.where(F.col("_label_id").isNotNull() & F.col("_label").isin(0.0, 1.0) & (fold(F.col("_label_id"), parts) != kept_out))
-    found = rows.agg(F.count(F.lit(1))).first()[0]
-    share = min(1.0, most_rows / max(1, found))
-    chosen = rows.where(F.pmod(F.xxhash64("_label_id", F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000))
-    return chosen.groupBy("_label_id").agg(F.max("_label").alias("_label"))
+    rows = rows.groupBy("_label_id").agg(F.max("_label").alias("_label"))
+    found = rows.count()
+    return rows.where(_place(F.col("_label_id")) < min(1.0, most_rows / max(1, found)))
+
+
+def _place(row_id: Column) -> Column:
+    """A number from 0 to below 1 that follows from hashes of an id: the millionth, and the place within it."""
+    within = F.pmod(F.xxhash64(row_id, F.lit(18)), F.lit(1 << 32)) / float(1 << 32)
+    return (F.pmod(F.xxhash64(row_id, F.lit(17)), F.lit(1_000_000)) + within) / 1e6
+
+
+def labelled(docs: DataFrame, chosen: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` (the text first) and ``_label`` of the documents in a sample of ids: one document of each id.
+
+    Of documents that share an id the one with the smallest digest counts, whatever their number, so that the rows are
+    as bounded as the ids.
+    """
+    rows = docs.select("doc_id", *columns).join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id"))
+    one = F.min(F.struct(F.xxhash64(columns[0]).alias("_digest"), *columns)).alias("_one")
+    rows = rows.groupBy("_label_id").agg(one, F.max("_label").alias("_label"))
+    return rows.select(*[F.col("_one")[c].alias(c) for c in columns], "_label")
 
 
 def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

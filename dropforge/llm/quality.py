@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropforge.llm.features import (
-    STEPS, STRUCTURE_FEATURES, WORD_FEATURES, calibrated, fold, hashed, lengths_step, sigmoid, steps, structure, training_sample, word_features,
+    STEPS, STRUCTURE_FEATURES, WORD_FEATURES, calibrated, fold, hashed, labelled, lengths_step, sigmoid, steps, structure, training_sample, word_features,
 )
 from dropforge.llm.tables import table
 from dropforge.llm.words import binary_array, text_slices
@@ -99,7 +99,7 @@ class Machine:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     chosen = training_sample(labels, "quality", FOLDS, KEPT_OUT, sample_rows)
-    sample = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id"))
+    sample = labelled(docs, chosen, "text", "n_chars")
 
     def look(batches):
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dropforge.llm.features import WORD_FEATURES, calibrated, fold, sigmoid, training_sample, word_features
+from dropforge.llm.features import WORD_FEATURES, calibrated, fold, labelled, sigmoid, training_sample, word_features
 from dropforge.llm.tables import table
 from dropforge.llm.words import _WORD, binary_array, hash_spans, shingles, text_bytes, text_slices, word_spans
 
@@ -237,7 +237,7 @@ class Linear:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Voters, Linear, LabelModel]:
     chosen = training_sample(labels, "toxic", FOLDS, KEPT_OUT, sample_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id"))
+    sample = labelled(docs, chosen, "text")
     voters = Voters(patterns(sample))
     together, rows = vote_moments(docs, voters)
 
