@@ -62,10 +62,13 @@ def components(links: DataFrame) -> DataFrame:
     Tasks contract the links they hold; then the large-star and small-star steps alternate: every node hands its larger,
     then its smaller neighbours over to the smallest one it knows. The smallest neighbour is a partially aggregated
     minimum, and handing over is a join, so a node with a third of all links is split like any hot key. Ends when every
-    node has one smaller neighbour at most, which has none.
+    node has one smaller neighbour at most, which has none, or when no more links are left than a task contracts at once:
+    those are contracted together, without any shuffle.
     """
-    edges = written(_contracted(links.where("a <> b").select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v"))).distinct(), "links")
-    while not _settled(edges):
+    edges = written(_contracted(links.where("a <> b").select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v"))), "links")
+    if edges.count() > CHUNK:
+        edges = written(edges.distinct(), "links")
+    while edges.count() > CHUNK and not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -73,6 +76,8 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(_contracted(small.unionByName(down.select("u", F.col("m").alias("v")))).distinct(), "links")
+    if edges.count() <= CHUNK:
+        edges = written(_contracted(edges.coalesce(1)), "links")
     ids = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ids.unionByName(ids.select(F.col("component").alias("id"), "component").distinct())
 

@@ -32,10 +32,10 @@ def graphs():
 
 
 @pytest.mark.parametrize("name, links", list(graphs()))
-@pytest.mark.parametrize("chunk", [1, 1 << 20])
+@pytest.mark.parametrize("chunk", [1, 40, 1 << 20])
 def test_components_equal_union_find(spark, monkeypatch, name, links, chunk):
     monkeypatch.setattr(module, "CHUNK", chunk)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if chunk == 1 else "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if chunk < 100 else "10000")
     try:
         frame = spark.createDataFrame(links, "a long, b long").repartition(5)
         found = {r.id: r.component for r in module.components(frame).collect()}
