@@ -7,10 +7,12 @@ the article. The text is the article's blocks in page order.
 There are no labels, so the labeller is trained on pages it knows the answer for: a bounded sample of pages (about
 ``SAMPLE_PAGES``, a documented bound) labelled by the elements their blocks stand in, and the same blocks dressed anew in
 random page layouts, with menus, headers, footers, sidebars, notices, adverts, forms and comments around and inside the
-article. Training takes seconds and gives the same weights every time; every page is then labelled whole.
+article. Training takes seconds and gives the same weights every time; it reads pages whole, in stretches of
+``TRAINING_BLOCKS``. Every page is then labelled whole.
 
 * A null or empty page, and one without article blocks, has an empty text of 0 characters. A null url stays null.
-* Unclosed and misnested elements end with the element they stand in; ``p`` ends where a block begins.
+* Unclosed and misnested elements end with the element they stand in; ``p`` ends where a block begins. A comment that is
+  never closed goes on to the end of the page; a tag that is never closed goes, up to its first ``>``, whatever quotes it has.
 * Repeated pages give repeated rows. Without pages the result is empty; other columns are not looked at.
 """
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropforge.llm.html_blocks import N_FEATURES, NAME_STEMS, blocks_of, vectors
+from dropforge.llm.html_blocks import N_FEATURES, NAME_STEMS, Element, blocks_of, down_to, vectors
 from dropforge.llm.tables import table
 from dropforge.llm.words import text_slices
 
@@ -35,15 +37,15 @@ _APART_TAGS = {"nav", "footer", "aside", "form", "button", "label", "dialog"}
 _APART_NAMES = {w for k in ("menu", "head", "foot", "side", "notice", "ad", "form", "comment", "share") for w in NAME_STEMS[k].split()}
 
 
-def element_label(path) -> int | None:
-    """1 in an article or main element and nothing set apart in it, 0 outside of it, None where no element tells."""
-    inside = None
-    for depth, (tag, named) in enumerate(path):
-        if tag in _APART_TAGS or _APART_NAMES & set(named) or (tag == "header" and inside is None):
-            return 0
-        if inside is None and (tag in ("article", "main") or "main" in named or "articlebody" in named):
-            inside = depth
-    return 0 if inside is None else 1
+def element_label(element: Element | None) -> int:
+    """1 in an article or main element and nothing set apart in it, 0 elsewhere."""
+    for e in down_to(element, lambda e: e.seen is not None):
+        above = e.parent.seen if e.parent is not None else "outside"
+        if above == "apart" or e.tag in _APART_TAGS or _APART_NAMES & set(e.named) or (e.tag == "header" and above == "outside"):
+            e.seen = "apart"
+        else:
+            e.seen = "inside" if e.tag in ("article", "main") or "main" in e.named or "articlebody" in e.named else above
+    return int(element is not None and element.seen == "inside")
 
 
 class Layouts:
@@ -229,25 +231,31 @@ def padded(sequences):
 def training_pages(pages: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Vectors and labels: the pages by their elements, and their blocks in new layouts."""
     found, labels, layouts = [], [], Layouts()
-    read = [b for b in (blocks_of(p)[:TRAINING_BLOCKS] for p in pages) if b]
+    read = [b for b in map(blocks_of, pages) if b]
     texts = sorted({b.text for page in read for b in page})
     escape = lambda t: t.replace("&", "&amp;").replace("<", "&lt;")
     texts = [escape(t) for t in texts] or ["Text."]
+
+    def learn(blocks, answer):
+        made = vectors(blocks)
+        for k in range(0, len(blocks), TRAINING_BLOCKS):
+            found.append(made[k : k + TRAINING_BLOCKS])
+            labels.append(answer[k : k + TRAINING_BLOCKS])
+
     for page in read:
-        own = np.array([element_label(b.path) for b in page], np.float32)
+        own = np.array([element_label(b.element) for b in page], np.float32)
         if own.any():
-            found.append(vectors(page))
-            labels.append(own)
+            learn(page, own)
         for _ in range(DRESSED):
             n = int(layouts.rnd.integers(1, 12)) if layouts.rnd.random() < 0.8 else int(layouts.rnd.integers(30, TRAINING_BLOCKS))
             article = [layouts.pick(*texts) for _ in range(n)]
             dressed = blocks_of(layouts.page(article, texts).replace(" data-own=1", ' data-own=1 itemprop="zzown"'))
-            answer = np.array([any("zzown" in named for _, named in b.path) for b in dressed], np.float32)
-            for b in dressed:
-                b.path = tuple((t, tuple(w for w in named if w != "zzown")) for t, named in b.path)
+            above = [down_to(b.element, lambda e: False) for b in dressed]
+            answer = np.array([any("zzown" in e.named for e in path) for path in above], np.float32)
+            for e in (e for path in above for e in path):
+                e.named = tuple(w for w in e.named if w != "zzown")
             if len(dressed):
-                found.append(vectors(dressed))
-                labels.append(answer)
+                learn(dressed, answer)
     return found, labels
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -11,7 +12,7 @@ import pytest
 
 import __spark_entry__ as contract
 from dropforge.llm import html_extract, line_dedup, quality, source_mix, toxicity
-from dropforge.llm.html_blocks import blocks_of
+from dropforge.llm.html_blocks import blocks_of, vectors
 from dropforge.llm.queries import QUERIES, SQL
 from harness.compare import differences, duck
 
@@ -172,3 +173,28 @@ def test_pages_that_are_copies_still_train(spark):
     alone = {r.url: r.text for r in html_extract.extract(spark.createDataFrame([(k, f"u{k}", own[k]) for k in range(3)], schema)).collect()}
     copies = html_extract.extract(spark.createDataFrame([(k, f"u{k % 3}", own[k % 3]) for k in range(9000)], schema))
     assert {(r.url, r.text) for r in copies.select("url", "text").distinct().collect()} == set(alone.items()) and any(alone.values())
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 20_000, "<ul><li><ul>" + "<div><li>x</li>" * 20_000, "<div>x</q>" * 20_000, "<table><tr><td><b>" + "<i><td>x" * 20_000])
+def test_deep_pages_take_time_in_proportion(page):
+    began = time.process_time()
+    found = blocks_of(page)
+    assert len(found) == 20_000 and np.isfinite(vectors(found)).all()
+    assert time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("page, texts", [
+    ("a<p>b<!-- c <p>d", ["a", "b"]), ("a<p>b<a <a", ["a", "b"]), ('a<p>b <a href="x>c<p>d', ["a", "b c", "d"]),
+    ("a<!DOCTYPE", ["a"]), ("a<?php x", ["a"]), ("a</b", ["a"]), ("a <", ["a <"]), ("1 < 2 &am", ["1 < 2 &am"]),
+    ("so <math><mi>x</mi><annotation>y</annotation></math> is", ["so x is"]),
+])
+def test_what_is_open_at_the_end_is_no_text(page, texts):
+    assert [b.text for b in blocks_of(page)] == texts
+
+
+def test_all_words_and_all_names_of_a_block_are_read():
+    tail = [blocks_of(f"<p>{'same ' * 60}{w}</p>") for w in ("cookies", "mountain")]
+    assert not np.array_equal(*[vectors(b) for b in tail])
+    names = " ".join(f"x{chr(97 + k)}" for k in range(20))
+    assert html_extract.element_label(blocks_of(f'<main><p class="{names} sidebar">x</p></main>')[0].element) == 0
+    assert html_extract.element_label(blocks_of("<main><p>x</p></main>")[0].element) == 1
